@@ -34,7 +34,8 @@ def churn_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         chosen = F.col("o_orderpriority") == priority
         price = F.when(chosen, F.col("o_totalprice"))
         measures += [
-            F.round(F.sum(price) / 1000, 2).alias(f"{part}_mins"),
+            # Summed as decimals: the result does not depend on the order of the rows.
+            F.sum(price.cast("decimal(12,2)")).cast("double").alias(f"{part}_mins"),
             F.count_if(chosen).cast("double").alias(f"{part}_calls"),
             F.max(price).alias(f"{part}_charge"),
         ]
@@ -55,7 +56,7 @@ def churn_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.coalesce(c, F.lit(0.0)).alias(c) for c in numbers],
     )
     yes_no = lambda test: F.when(test, C.YES).otherwise(C.NO)
-    churned = (F.col("custserve_calls") >= 4) | (F.col("day_mins") > 900)
+    churned = (F.col("custserve_calls") >= 4) | (F.col("day_mins") > 900_000)
     return joined.select(
         F.col("c_mktsegment").alias("state"),
         "account_length",
