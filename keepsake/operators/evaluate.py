@@ -13,13 +13,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from keepsake.functions.cells import column, without_nan
 from keepsake.functions.scores import element
 
 _MAX_RANGES = 10_000
+_SKETCH_GROUPS = 64
 
 
 def listing(
@@ -30,6 +31,9 @@ def listing(
     probability: str | None = None,
 ) -> DataFrame:
     """``key, label, prediction`` (and the positive-class probability) per row, distributed."""
+    taken = {"label", "prediction", "probability"} & set(key)
+    if taken:
+        raise ValueError(f"the listing has its own {sorted(taken)}; choose other key columns")
     chosen = [*[column(c) for c in key], column(label).alias("label"),
               column(prediction).alias("prediction")]
     if probability:
@@ -164,20 +168,16 @@ def evaluate(
         counts["hit_neg"] = F.count_if(negative & (column(prediction) == 0))
     if areas:
         number = without_nan(column(score).cast("double"))
-        ranges = _range_count(scored)
         counts["n_scored"] = F.count(number)
-        counts["cuts"] = F.percentile_approx(
-            number, [i / ranges for i in range(1, ranges)] or [0.5], 4 * ranges
-        )
-    counted = scored.agg(*[value.alias(name) for name, value in counts.items()])
-
-    if areas:
-        found = counted.first()
+        found = _count_and_cut(scored, counts, number)
         if found.n_scored < found.n_rows:
             raise ValueError(f"{found.n_rows - found.n_scored} rows have no {score}")
         points = _points(scored, number, positive, negative, found.cuts or [])
-        known = [F.lit(found[c]).alias(c) for c in counts if c not in ("cuts", "n_scored")]
-        counted = _area_sums(points).select("roc", "pr", *known)
+        counted = _area_sums(points).select(
+            "roc", "pr", *[F.lit(found[c]).alias(c) for c in counts]
+        )
+    else:
+        counted = scored.agg(*[value.alias(name) for name, value in counts.items()])
 
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     values = {
@@ -201,8 +201,35 @@ def evaluate(
     return counted.select(F.inline(F.array(*rows)))
 
 
-def _range_count(df: DataFrame) -> int:
-    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), _MAX_RANGES)
+def _count_and_cut(scored: DataFrame, counts: dict[str, Column], score: Column) -> Row:
+    """The counts of all rows, and ``cuts``: scores that part the rows about evenly.
+
+    Quantiles of groups of input partitions first, then quantiles of those, so that no task has
+    to merge the sketches of every other task.
+    """
+    ranges = min(int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")), _MAX_RANGES)
+    shares = [i / ranges for i in range(1, ranges)] or [0.5]
+    by_group = (
+        scored.withColumn("_group", F.spark_partition_id() % _SKETCH_GROUPS)
+        .groupBy("_group")
+        .agg(
+            *[value.alias(name) for name, value in counts.items()],
+            F.percentile_approx(score, shares, 2 * ranges).alias("cuts"),
+        )
+    )
+    sums = by_group.agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts],
+        F.flatten(F.collect_list("cuts")).alias("cuts"),
+    )
+    # At most _SKETCH_GROUPS lists were collected, each as long as ``shares``.
+    found = sums.withColumn("cuts", F.array_sort("cuts")).withColumn(
+        "cuts",
+        F.transform(
+            F.sequence(F.lit(1), F.lit(len(shares))),
+            lambda i: F.get("cuts", (i * F.size("cuts") / (len(shares) + 1)).cast("int")),
+        ),
+    )
+    return found.first()
 
 
 def _points(
@@ -213,7 +240,7 @@ def _points(
     Any cuts give the same areas. Quantiles only keep the ranges, and so the windows over them,
     about equally small.
     """
-    finite = sorted({c for c in cuts if abs(c) != float("inf")})
+    finite = sorted({c for c in cuts if c is not None and abs(c) != float("inf")})
     labelled = scored.select(score.alias("score"), positive.alias("p"), negative.alias("n"))
     if finite:
         splits = [-float("inf"), *finite, float("inf")]

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from keepsake import constants as C
 from keepsake.functions.labels import equals_label
+from keepsake.functions.scores import element
 from keepsake.operators import columns as cols
 from keepsake.operators import evaluate as ev
 from keepsake.operators.learners import classification_stages, forest, network
 from keepsake.operators.missing import columns_without_values
 from keepsake.operators.profile import top_correlations, with_class_weight
 from keepsake.operators.split import DEFAULT_SEED, split, split_exact
-from keepsake.functions.scores import element
 from keepsake.sources import schemas
 from keepsake.sources.sinks import keep_in_memory
 
@@ -49,6 +49,11 @@ class Result:
     label: str
     dropped: tuple[str, ...] = ()  # features without a single value in train
 
+    def release(self) -> None:
+        """Drop the cached splits once the results are written."""
+        self.train.unpersist()
+        self.test.unpersist()
+
     def with_score(self) -> DataFrame:
         return self.scored.withColumn("score", element(F.col("probability"), 1))
 
@@ -142,9 +147,9 @@ def fit_and_score(
 ) -> Result:
     divide = split_exact if study.exact else split
     train, test = divide(table, key or table.columns, study.share, seed)
-    train, test = keep_in_memory(train, test)
-
     features = cols.names_except(table, study.excluded)
+    train, test = keep_in_memory(cols.keep(train, [*features, "label"]), test)
+
     empty = columns_without_values(train, features) if study.impute else []
     features = [c for c in features if c not in empty]
     label = "label_index" if study.labels else "label"

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from keepsake import constants as C
 from keepsake.functions.cells import column, is_yes, to_double
 from keepsake.functions.labels import equals_label, one_vs_rest
-from keepsake.sources.delimited import read_lines, pick_cells, read_unquoted, read_with_header
+from keepsake.sources.delimited import pick_cells, read_lines, read_unquoted, read_with_header
 
 
 def churn_schema() -> T.StructType:
