@@ -20,7 +20,7 @@ def column(name: str) -> Column:
 
 def without_nan(value: Column) -> Column:
     """NaN becomes NULL, so that there is one kind of missing number."""
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(value, F.lit(None).cast("double"))
 
 
 def to_double(cell: Column) -> Column:

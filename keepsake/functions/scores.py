@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -9,10 +11,24 @@ from pyspark.sql import functions as F
 
 def softmax(scores: Column) -> Column:
     """Class probabilities of a score array, shifted by its maximum so that exp cannot overflow."""
-    top = F.array_max(scores)
-    powers = F.transform(scores, lambda x: F.exp(x.cast("double") - top.cast("double")))
-    total = F.aggregate(powers, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(powers, lambda x: x / total)
+
+    def divided(powers: Column) -> Column:
+        total = F.aggregate(powers, F.lit(0.0), lambda acc, x: acc + x)
+        return _once(total, lambda t: F.transform(powers, lambda x: x / t))
+
+    powers = _once(
+        F.array_max(scores).cast("double"),
+        lambda top: F.transform(scores, lambda x: F.exp(x.cast("double") - top)),
+    )
+    return _once(powers, divided)
+
+
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often ``body`` uses it.
+
+    A plain Column is an expression, and inside a lambda it would be computed per element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def argmax(scores: Column) -> Column:

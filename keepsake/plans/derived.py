@@ -34,8 +34,8 @@ def churn_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         chosen = F.col("o_orderpriority") == priority
         price = F.when(chosen, F.col("o_totalprice"))
         measures += [
-            # Summed as decimals: the result does not depend on the order of the rows.
-            F.sum(price.cast("decimal(12,2)")).cast("double").alias(f"{part}_mins"),
+            # Summed as whole cents: the result does not depend on the order of the rows.
+            (F.sum(F.round(price * 100).cast("long")) / 100).alias(f"{part}_mins"),
             F.count_if(chosen).cast("double").alias(f"{part}_calls"),
             F.max(price).alias(f"{part}_charge"),
         ]

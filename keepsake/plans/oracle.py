@@ -138,8 +138,8 @@ _CHURN = (
                date_diff('day', min(o_orderdate), max(o_orderdate))::DOUBLE AS account_length,
                count(*) FILTER (WHERE o_orderstatus = 'P') AS vmail_message, """
     + ", ".join(
-        f"""sum(o_totalprice::DECIMAL(12,2)) FILTER (WHERE o_orderpriority = '{v}')::DOUBLE
-                AS {p}_mins,
+        f"""sum(round(o_totalprice * 100)::BIGINT) FILTER (WHERE o_orderpriority = '{v}')::DOUBLE
+                / 100 AS {p}_mins,
             count(*) FILTER (WHERE o_orderpriority = '{v}') AS {p}_calls,
             max(o_totalprice) FILTER (WHERE o_orderpriority = '{v}') AS {p}_charge"""
         for p, v in _PARTS_OF_DAY.items()

@@ -151,10 +151,9 @@ def safe_cast_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = _mixed_cells(spark, sf_dir).select(
         *LINE_KEY,
         cells.to_double(cell).alias("number"),
-        cells.to_double(cell).alias("filled"),
         cells.to_double_or_zero(cell).alias("zeroed"),
     )
-    return ms.fill_zero(read, ["filled"])
+    return ms.fill_zero(read.withColumn("filled", F.col("number")), ["filled"])
 
 
 def label_one_vs_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
