@@ -11,8 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import UserDefinedType
 
 from keepsake.constants import SHARE_QUARTER
+from keepsake.functions.cells import column
 from keepsake.functions.keys import HASH_DIGITS, key_hash, share_bound
 
 DEFAULT_SEED = 7
@@ -53,7 +55,8 @@ def exactly_held_out(
         return F.lit(False)
     if missing == 0:
         return first <= F.lit(last)
-    second = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, UserDefinedType)]
+    second = F.md5(F.to_json(F.struct(*[column(c) for c in plain])))
     tied = df.where(first == F.lit(last)).select(second.alias("hash"))
     _, last_row, _ = _smallest(tied, lambda _: missing)
     return (first < F.lit(last)) | ((first == F.lit(last)) & (second <= F.lit(last_row)))

@@ -100,13 +100,31 @@ def test_correlation_matrix(pairs):
     assert found["x", "x"] == pytest.approx(1.0) and found["flat", "flat"] is None
 
 
-def test_wide_matrix_is_cut_into_scans(pairs, monkeypatch):
-    whole = {(r.x, r.y): r.r for r in pf.correlation_matrix(pairs, pairs.columns).collect()}
-    monkeypatch.setattr(pf, "_PAIRS_PER_SCAN", 3)
-    cut = {(r.x, r.y): r.r for r in pf.correlation_matrix(pairs, pairs.columns).collect()}
-    assert cut.keys() == whole.keys()
-    for pair, r in whole.items():
-        assert cut[pair] == (r if r is None else pytest.approx(r))
+def test_matrix_equals_the_target_correlations(spark):
+    """Gaps, a huge offset, a column that is constant only where the other is present."""
+    rows = spark.range(3000).select(
+        (F.xxhash64("id") % 1000 + 1_000_000_000).cast("double").alias("far"),
+        F.when(F.col("id") % 3 != 0, (F.hash("id") % 7).cast("double")).alias("gappy"),
+        F.when(F.col("id") % 3 == 1, 4.25).otherwise(F.rand(5)).alias("flat_there"),
+        F.when(F.col("id") % 3 == 1, F.rand(6)).otherwise(NAN).alias("there"),
+        F.lit(None).cast("double").alias("none"),
+        F.lit(0.1).alias("flat"),
+        (F.col("id") % 2).alias("target"),
+    ).repartition(7).cache()
+    found = {(r.x, r.y): r.r for r in pf.correlation_matrix(rows, rows.columns).collect()}
+    assert len(found) == 49
+    assert found["flat_there", "there"] is None and found["flat", "far"] is None
+    assert all(found["none", c] is None for c in rows.columns)
+    for column in rows.columns:
+        for r in pf.correlations(rows, column, rows.columns).collect():
+            if found[r.feature, column] is not None:
+                assert found[r.feature, column] == pytest.approx(r.r, abs=1e-9)
+    rows.unpersist()
+
+
+def test_matrix_of_no_rows(spark):
+    empty = spark.createDataFrame([], "x double, y double")
+    assert all(r.r is None for r in pf.correlation_matrix(empty, ["x", "y"]).collect())
 
 
 def test_category_counts(spark):
