@@ -549,23 +549,20 @@ def metric_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- Studies -------------------------------------------------------------------------------
 
-_WRITERS = {
-    "churn_forest": derived.write_churn_lines,
-    "churn_forest_exact": derived.write_churn_csv,
-    "churn_network_deep": derived.write_churn_csv,
-    "churn_network_wide": derived.write_churn_csv,
-    "renewal_forest": derived.write_renewal_lines,
-    "renewal_forest_balanced": derived.write_renewal_csv,
-    "renewal_network_small": derived.write_renewal_csv,
-    "renewal_network_pair": derived.write_renewal_csv,
-}
+def _study_file(name: str) -> Callable[[SparkSession, str], str]:
+    """The writer of the file that a study reads: lines for the two scans without a header."""
+    if name == "churn_forest":
+        return derived.write_churn_lines
+    if name == "renewal_forest":
+        return derived.write_renewal_lines
+    return derived.write_churn_csv if name.startswith("churn") else derived.write_renewal_csv
 
 
 def study_metrics(name: str) -> Query:
     """Derive the study's file, run the study on it, and return its metrics."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return studies.run_study(spark, name, _WRITERS[name](spark, sf_dir)).metrics()
+        return studies.run_study(spark, name, _study_file(name)(spark, sf_dir)).metrics()
 
     return query
 

@@ -1,4 +1,8 @@
-"""The eight studies, end to end: read, clean, split, fit on train, score test, evaluate."""
+"""The studies, end to end: read, clean, split, fit on train, score test, evaluate.
+
+The forests and the four networks named deep, wide, small and pair are the main ones. The linear
+models and the custom network are alternatives on the same tables.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +18,7 @@ from keepsake.functions.labels import equals_label
 from keepsake.functions.scores import element
 from keepsake.operators import columns as cols
 from keepsake.operators import evaluate as ev
-from keepsake.operators.learners import classification_stages, forest, network
+from keepsake.operators.learners import classification_stages, forest, logistic, network
 from keepsake.operators.missing import columns_without_values
 from keepsake.operators.profile import top_correlations, with_class_weight
 from keepsake.operators.split import DEFAULT_SEED, split, split_exact
@@ -75,6 +79,10 @@ def _network(shape: str):
     return lambda inputs, label, weight, seed: network(shape, inputs, label=label, seed=seed)
 
 
+def _logistic(penalty: str | None = None):
+    return lambda inputs, label, weight, seed: logistic(penalty, label=label, weight=weight)
+
+
 def _renewal_filled_with_zero(spark: SparkSession, path: str) -> DataFrame:
     return schemas.read_renewal(spark, path, fill="zero")
 
@@ -123,6 +131,26 @@ STUDIES: dict[str, Study] = {
         _renewal_by_text, _network("renewal_pair"), C.SHARE_THREE_TENTHS, exact=True,
         impute=True, scaling="standard",
     ),
+    "churn_linear": Study(
+        schemas.read_churn_with_header, _logistic(), C.SHARE_FIFTH, exact=True,
+        scaling="standard",
+    ),
+    "churn_network_custom": Study(
+        schemas.read_churn_with_header, _network("churn_custom"), C.SHARE_FIFTH, exact=True,
+        scaling="standard",
+    ),
+    "churn_logistic_l1": Study(
+        schemas.read_churn_with_header, _logistic("l1"), C.SHARE_FIFTH, exact=True,
+        scaling="standard", balanced=True,
+    ),
+    "renewal_linear": Study(
+        _renewal_by_text, _logistic(), C.SHARE_FIFTH, exact=True,
+        impute=True, scaling="standard",
+    ),
+    "renewal_logistic_l2": Study(
+        _renewal_by_text, _logistic("l2"), C.SHARE_THREE_TENTHS, exact=True,
+        impute=True, scaling="standard", balanced=True,
+    ),
 }
 
 

@@ -55,25 +55,42 @@ def read_unquoted(
     return pick_cells(read_lines(spark, path), positions, schema, fill)
 
 
-def read_quoted(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read headerless CSV with quoting, in schema order."""
+def read_quoted(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    separator: str = ",",
+    multi_line: bool = False,
+) -> DataFrame:
+    """Read headerless CSV with quoting, in schema order. For ``multi_line`` see below."""
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    cells = spark.read.schema(text).csv(path, quote='"', escape='"')
+    cells = spark.read.schema(text).csv(
+        path, sep=separator, quote='"', escape='"', multiLine=multi_line
+    )
     return cells.select(
         *[to_type(column(f.name), f.dataType.simpleString()).alias(f.name) for f in schema]
     )
 
 
 def read_with_header(
-    spark: SparkSession, path: str, types: Mapping[str, str] | None = None
+    spark: SparkSession,
+    path: str,
+    types: Mapping[str, str] | None = None,
+    separator: str = ",",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read CSV that has a header line, quotes honoured.
 
     ``types`` maps header names to string, double or boolean; only those columns are read, by
     name, in whatever order the file has them. Without it every column is read as text. No pass
     over the data infers anything; only the header line is looked at.
+
+    ``multi_line`` allows line ends inside quoted cells. Such a file cannot be cut into parts, so
+    one task reads it whole; leave it off for large files.
     """
-    cells = spark.read.csv(path, header=True, quote='"', escape='"')
+    cells = spark.read.csv(
+        path, header=True, sep=separator, quote='"', escape='"', multiLine=multi_line
+    )
     if types is None:
         return cells
     return cells.select(*[to_type(column(c), kind).alias(c) for c, kind in types.items()])

@@ -30,6 +30,18 @@ def test_quoted_lines_keep_commas(spark, tmp_path):
     assert tuple(delimited.read_quoted(spark, path, schema).first()) == ("a,b", False, "True.")
 
 
+def test_line_ends_inside_quotes_and_other_separators(spark, tmp_path):
+    path = write(spark, tmp_path, 'a;b', '"x', 'y";2')
+    read = delimited.read_with_header(
+        spark, path, {"b": "double", "a": "string"}, separator=";", multi_line=True
+    )
+    assert [tuple(r) for r in read.collect()] == [(2.0, "x\ny")]
+    path = write(spark, tmp_path, '"x', 'y";2', name="plain.csv")
+    schema = T.StructType.fromDDL("a string, b double")
+    read = delimited.read_quoted(spark, path, schema, separator=";", multi_line=True)
+    assert [tuple(r) for r in read.collect()] == [("x\ny", 2.0)]
+
+
 def test_separator_is_taken_literally(spark, tmp_path):
     path = write(spark, tmp_path, "a|b.c")
     assert delimited.read_lines(spark, path, "|").first().cells == ["a", "b.c"]
