@@ -33,6 +33,23 @@ SELECT d.doc_id, d.size, a.source_size, a.target,
 FROM d JOIN a ON d.source IS NOT DISTINCT FROM a.source AND d.point = a.point
 """
 
+OP10 = """
+WITH d AS (
+  SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
+         ('0x' || substr(md5(concat_ws('|', doc_id::VARCHAR, md5(text))), 1, 13))::BIGINT AS hash
+  FROM documents),
+k AS (SELECT d.*, depth, (hash >> (52 - depth))::BIGINT AS prefix
+      FROM d, (SELECT unnest(range(0, 53))::INTEGER AS depth)),
+s AS (SELECT depth, prefix, sum(n_bytes)::BIGINT AS shard_bytes FROM k GROUP BY depth, prefix),
+f AS (SELECT k.*, shard_bytes,
+             row_number() OVER (PARTITION BY hash, doc_id, n_bytes, depth) AS copy
+      FROM k JOIN s USING (depth, prefix) WHERE shard_bytes <= 1048576)
+-- No bucket of the table stays over the limit at 52 bits, so there is one part.
+SELECT doc_id, n_bytes, depth, prefix, 0::BIGINT AS part, shard_bytes FROM f
+QUALIFY row_number() OVER (PARTITION BY hash, doc_id, n_bytes, copy ORDER BY depth) = 1
+"""
+
 ORACLE = {
     "op1_source_mix": OP1,
+    "op10_extendible_shards": OP10,
 }
