@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import chat, crf, mixing, quality, sharding
+from keepsake.llm import chat, crf, mixing, quality, sharding, tokens
 from keepsake.llm.tables import read, stored
+from keepsake.session import new_shared_path
 
 
 def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +40,14 @@ def op4_language_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf.identify(read(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in wavelet-matrix files, read back."""
+    path = new_shared_path(spark, "tokens")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    tokens.write_tokens(read(spark, sf_dir, "documents"), path, vocabulary)
+    return tokens.read_documents(spark, path)
+
+
 def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards of at most 1 MiB of text."""
     return sharding.shard_rows(read(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
@@ -48,5 +58,6 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_chat_windows": op3_chat_windows,
     "op4_language_field": op4_language_field,
+    "op5_token_files": op5_token_files,
     "op10_extendible_shards": op10_extendible_shards,
 }
