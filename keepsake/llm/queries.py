@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import chat, crf, mixing, quality, sharding, tokens
+from keepsake.llm import chat, crf, minhash, mixing, quality, sharding, tokens
 from keepsake.llm.tables import read, stored
 from keepsake.session import new_shared_path
 
@@ -48,6 +48,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_documents(spark, path)
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in groups whose five-word shingles agree to 75 % or more."""
+    found = minhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("key", "doc_id")
+
+
 def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards of at most 1 MiB of text."""
     return sharding.shard_rows(read(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
@@ -59,5 +65,6 @@ QUERIES = {
     "op3_chat_windows": op3_chat_windows,
     "op4_language_field": op4_language_field,
     "op5_token_files": op5_token_files,
+    "op7_near_duplicates": op7_near_duplicates,
     "op10_extendible_shards": op10_extendible_shards,
 }
