@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import chat, crf, minhash, mixing, quality, sharding, tokens
+from keepsake.llm import chat, crf, minhash, mixing, quality, secret_scan, sharding, tiling, tokens
 from keepsake.llm.tables import read, stored
 from keepsake.session import new_shared_path
 
@@ -54,6 +54,25 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("key", "doc_id")
 
 
+def op8_benchmark_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold half of a benchmark item's words or more, in any order."""
+    docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return tiling.contaminated(docs, benchmark).select(
+        F.col("key").cast("long").alias("doc_id"), F.col("item").cast("long").alias("item_id"),
+        "coverage", "n_tiles", "n_items", F.lit(True).alias("contaminated"),
+    )
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: the base patterns, and strings that take too many tokens."""
+    found = secret_scan.scan(
+        read(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+    return found.withColumnRenamed("key", "doc_id")
+
+
 def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards of at most 1 MiB of text."""
     return sharding.shard_rows(read(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
@@ -66,5 +85,7 @@ QUERIES = {
     "op4_language_field": op4_language_field,
     "op5_token_files": op5_token_files,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_benchmark_tiling": op8_benchmark_tiling,
+    "op9_secret_scan": op9_secret_scan,
     "op10_extendible_shards": op10_extendible_shards,
 }

@@ -136,3 +136,18 @@ def combine(words: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarr
         total = (own * _SHINGLE_BASES[: len(own)]).sum(dtype=np.uint64)
         out[out_bounds[i]] = mix(np.array([total + np.uint64(len(own))]))[0]
     return out, out_bounds
+
+
+def run_hashes(
+    words: np.ndarray, bounds: np.ndarray, n: int, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every text's runs of exactly n words, equal to the shingle hash that a text of
+    only these words has under `width`, and where each text's runs begin."""
+    counts = np.maximum(np.diff(bounds) - n + 1, 0)
+    out_bounds = np.concatenate(([0], np.cumsum(counts)))
+    owner = np.repeat(np.arange(len(counts)), counts)
+    place = bounds[:-1][owner] + np.arange(len(owner)) - out_bounds[:-1][owner]
+    total = np.zeros(len(owner), np.uint64)
+    for k in range(n):
+        total += words[place + k] * _SHINGLE_BASES[k]
+    return mix(total + np.uint64(n) if n < width else total), out_bounds
