@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import chat, crf, minhash, mixing, quality, secret_scan, sharding, tiling, tokens
+from keepsake.llm import chat, crf, minhash, mixing, polytope, quality, secret_scan, sharding, tiling, tokens
 from keepsake.llm.tables import read, stored
 from keepsake.session import new_shared_path
 
@@ -73,6 +73,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("key", "doc_id")
 
 
+def op6_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings linked within their label at a cosine of 0.98 or more."""
+    found = polytope.linked_vectors(read(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("key", "vec_id")
+
+
 def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards of at most 1 MiB of text."""
     return sharding.shard_rows(read(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
@@ -87,5 +93,6 @@ QUERIES = {
     "op7_near_duplicates": op7_near_duplicates,
     "op8_benchmark_tiling": op8_benchmark_tiling,
     "op9_secret_scan": op9_secret_scan,
+    "op6_vector_links": op6_vector_links,
     "op10_extendible_shards": op10_extendible_shards,
 }
