@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as contract
+from keepsake.plans.oracle import ORACLE
+from keepsake.plans.queries import QUERIES
 from keepsake.plans.studies import STUDIES
 from tests.compare import connect, differences
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 LEARNERS = [q for q in QUERIES if q not in ORACLE and not q.startswith("study_")]
 
 
@@ -17,6 +18,8 @@ def connection(sf_dir):
 
 def test_every_sql_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
