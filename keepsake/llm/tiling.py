@@ -150,6 +150,8 @@ def _hits(bitmap: np.ndarray, short: list[int]):
                     for i, h in zip(owner, hashes[hit].view(np.int64)):
                         seeds[i].append(h)
                 keep = [i for i, s in enumerate(seeds) if s]
+                if not keep:
+                    continue
                 part = batch.iloc[a:b].iloc[keep]
                 yield part.assign(seeds=[np.unique(seeds[i]) for i in keep])
 
