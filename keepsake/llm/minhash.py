@@ -9,9 +9,11 @@ Texts with equal words are one class from the start. Classes that agree in a ban
 candidates. Within a band's bucket, sketches are compared in blocks of bounded size, and pairs whose
 sketches are far from the threshold go no further. Of the others, a first round confirms only the
 pairs that are likely to join the bucket together (each class with its closest, and with the
-bucket's most central class); a second one confirms all pairs that are still apart. So a group of
-thousands of near copies costs about one confirmation per member, and no link between components
-is lost. Links are confirmed on full shingle sets.
+bucket's most central class), so a group of thousands of near copies costs about one confirmation
+per member. A second round confirms all pairs that are still apart: the shingle sets of the classes
+that have such a pair are sent to the bucket's block, where the pairs are tried without ever
+becoming rows, each in the first band that it shares. No link between components is lost. Links are
+confirmed on full shingle sets.
 """
 
 from __future__ import annotations
@@ -88,7 +90,7 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 keys = tx.mix(keys * np.uint64(31) + coordinates[:, r::_ROWS] + np.uint64(r))
             keys = tx.mix(keys + salt).view(np.int64)
             sizes = [len(np.unique(hashes[i:j])) for i, j in zip(bounds, bounds[1:])]
-            short = (coordinates & np.uint64(0xFFFF)).astype("<u2")
+            short = (coordinates & np.uint64(0xFFFFFFFF)).astype("<u4")
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"].iloc[a:b],
@@ -121,85 +123,119 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
-    """(band, i, j, part, class, sketch): the classes of every bucket that has several, dealt to
-    pairs of blocks; part is 0 for a class of block i and 1 for one of another block j."""
-    bands = classes.select("class", F.explode("bands").alias("band"))
+    """(nth, band, i, j, part, class, sketch): the classes of every bucket that has several, dealt
+    to pairs of blocks; part is 0 for a class of block i and 1 for one of another block j. nth is
+    the band's number."""
+    bands = classes.select("class", F.posexplode("bands").alias("nth", "band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     members = bands.join(shared, "band")
     n_blocks = F.ceil(F.col("size") / BLOCK)
     block = F.pmod(F.xxhash64("class"), n_blocks)
-    dealt = members.select("class", "band", block.alias("own"), F.explode(
+    dealt = members.select("class", "nth", "band", block.alias("own"), F.explode(
         F.sequence(F.lit(0).cast("long"), n_blocks - 1)).alias("other"))
     cell = dealt.select(
-        "class", "band",
+        "class", "nth", "band",
         F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("part"),
     )
     return cell.join(classes.select("class", "sketch"), "class")
 
 
-def _pairs_of(batches: Iterator[pd.DataFrame], every: bool) -> Iterator[pd.DataFrame]:
-    """Pairs to confirm, from rows that arrive cell by cell. Cells are at most two blocks large."""
+def _by_cell(batches: Iterator[pd.DataFrame], work) -> Iterator[pd.DataFrame]:
+    """work(cell) for rows that arrive cell by cell. Cells are at most two blocks large."""
     held = None
     for batch in batches:
         batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        cells = batch[["band", "i", "j"]].to_numpy()
-        starts = np.flatnonzero(np.r_[True, (cells[1:] != cells[:-1]).any(axis=1)])
+        keys = batch[["band", "i", "j"]].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+        found = [work(_Cell(batch, a, b)) for a, b in zip(starts, starts[1:])]
+        if any(f is not None for f in found):
+            yield pd.concat([f for f in found if f is not None], ignore_index=True)
         held = batch.iloc[starts[-1] :]
-        yield from _cells(batch.iloc[: starts[-1]], starts[:-1], every)
     if held is not None and len(held):
-        yield from _cells(held, np.zeros(1, np.int64), every)
-
-
-def _cells(rows: pd.DataFrame, starts: np.ndarray, every: bool) -> Iterator[pd.DataFrame]:
-    if not len(rows):
-        return
-    sketch = np.frombuffer(b"".join(rows["sketch"]), "<u2").reshape(len(rows), COORDINATES)
-    names = rows["class"].to_numpy()
-    root = rows["root"].to_numpy()
-    part = rows["part"].to_numpy()
-    across = (rows["i"] != rows["j"]).to_numpy()
-    least = LEAST_AGREEMENT * COORDINATES
-    out = []
-    for a, b in zip(starts, np.append(starts[1:], len(rows))):
-        if b - a < 2:
-            continue
-        left = np.arange(a, b) if not across[a] else a + np.flatnonzero(part[a:b] == 0)
-        right = left if not across[a] else a + np.flatnonzero(part[a:b] == 1)
-        if not len(left) or not len(right):
-            continue
-        equal = np.empty((len(left), len(right)), np.int16)
-        for k, x in enumerate(left):
-            equal[k] = (sketch[right] == sketch[x]).sum(axis=1)
-        if not across[a]:
-            np.fill_diagonal(equal, -1)
-        close = equal >= least
-        if every:
-            x, y = np.nonzero(close)
-            apart = root[left[x]] != root[right[y]]
-            x, y = x[apart], y[apart]
-        else:
-            central = int(np.where(close, equal, 0).sum(axis=0, dtype=np.int64).argmax())
-            best = equal.argmax(axis=1)
-            rows_ = np.arange(len(left))
-            x = np.concatenate((rows_, rows_))
-            y = np.concatenate((best, np.full(len(left), central)))
-            if across[a]:
-                x = np.concatenate((x, equal.argmax(axis=0)))
-                y = np.concatenate((y, np.arange(len(right))))
-            good = close[x, y]
-            x, y = x[good], y[good]
-        out += [(min(p, q), max(p, q)) for p, q in zip(names[left[x]], names[right[y]])]
-    if out:
-        yield pd.DataFrame(sorted(set(out)), columns=["a", "b"])
-
-
-def _pairs(candidates: DataFrame, every: bool) -> DataFrame:
-    """Distinct pairs (a, b) of classes to confirm."""
-    n = int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = candidates.repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-    found = dealt.mapInPandas(lambda batches: _pairs_of(batches, every), "a binary, b binary")
-    return found.distinct()
+        found = work(_Cell(held, 0, len(held)))
+        if found is not None:
+            yield found
+
+
+class _Cell:
+    """Rows a to b of a batch: one cell, with how many coordinates its pairs agree in."""
+
+    def __init__(self, batch: pd.DataFrame, a: int, b: int):
+        self.rows = batch.iloc[a:b]
+        n = b - a
+        self.sketch = np.frombuffer(b"".join(self.rows["sketch"]), "<u4").reshape(n, COORDINATES)
+        self.across = self.rows["i"].iloc[0] != self.rows["j"].iloc[0]
+        part = self.rows["part"].to_numpy()
+        self.left = np.flatnonzero(part == 0) if self.across else np.arange(n)
+        self.right = np.flatnonzero(part == 1) if self.across else self.left
+        self.equal = np.empty((len(self.left), len(self.right)), np.int16)
+        other = self.sketch[self.right]
+        for k, x in enumerate(self.left):
+            self.equal[k] = (other == self.sketch[x]).sum(axis=1)
+        if not self.across:
+            np.fill_diagonal(self.equal, -1)
+        self.close = self.equal >= LEAST_AGREEMENT * COORDINATES
+
+    def likely(self) -> pd.DataFrame | None:
+        """Pairs that are likely to join the cell together."""
+        if not self.close.any():
+            return None
+        central = int(np.where(self.close, self.equal, 0).sum(axis=0, dtype=np.int64).argmax())
+        every = np.arange(len(self.left))
+        x = np.concatenate((every, every))
+        y = np.concatenate((self.equal.argmax(axis=1), np.full(len(every), central)))
+        if self.across:
+            x = np.concatenate((x, self.equal.argmax(axis=0)))
+            y = np.concatenate((y, np.arange(len(self.right))))
+        good = self.close[x, y]
+        names = self.rows["class"].to_numpy()
+        p, q = names[self.left[x[good]]], names[self.right[y[good]]]
+        pairs = sorted({(min(a, b), max(a, b)) for a, b in zip(p, q)})
+        return pd.DataFrame(pairs, columns=["a", "b"])
+
+    def apart(self) -> tuple[np.ndarray, np.ndarray]:
+        """Close pairs (row, row) with different roots whose first shared band is this one."""
+        x, y = np.nonzero(self.close if self.across else np.triu(self.close))
+        x, y = self.left[x], self.right[y]
+        root, nth = self.rows["root"].to_numpy(), int(self.rows["nth"].iloc[0])
+        different = root[x] != root[y]
+        x, y = x[different], y[different]
+        first = np.zeros(len(x), bool)
+        for a in range(0, len(x), 1 << 14):
+            s = slice(a, a + (1 << 14))
+            same = (self.sketch[x[s]] == self.sketch[y[s]]).reshape(-1, BANDS, _ROWS).all(axis=2)
+            first[s] = same.argmax(axis=1) == nth
+        return x[first], y[first]
+
+    def open_rows(self) -> pd.DataFrame | None:
+        """The rows that have a pair still to be tried here."""
+        x, y = self.apart()
+        return self.rows.iloc[np.unique(np.concatenate((x, y)))] if len(x) else None
+
+    def links(self, percent: int) -> pd.DataFrame | None:
+        """Of the pairs still apart, one confirmed link for each two roots that have one."""
+        sets = [np.frombuffer(s, np.uint64) for s in self.rows["shingles"]]
+        names, root = self.rows["class"].to_numpy(), self.rows["root"].to_numpy()
+        found = {}
+        for x, y in zip(*self.apart()):
+            roots = (min(root[x], root[y]), max(root[x], root[y]))
+            if roots not in found and _similar(sets[x], sets[y], percent):
+                found[roots] = (min(names[x], names[y]), max(names[x], names[y]))
+        return pd.DataFrame(list(found.values()), columns=["a", "b"]) if found else None
+
+
+_CELL = "nth int, band long, i long, j long, part int, class binary, sketch binary, root binary"
+
+
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
+
+
+def _in_cells(rows: DataFrame, work, schema: str) -> DataFrame:
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return dealt.mapInPandas(lambda batches: _by_cell(batches, work), schema)
 
 
 def _shingle_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -212,15 +248,19 @@ def _shingle_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"class": names, "shingles": sets})
 
 
+def _similar(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """For sorted sets: is the intersection at least `percent` % of the union?"""
+    both = np.sort(np.concatenate((p, q)), kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= percent * (len(p) + len(q) - shared)
+
+
 def _linked(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        good = []
-        for x, y in zip(batch["x"], batch["y"]):
-            p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            # Both are sorted and free of repeats: a value in both stands twice in a row.
-            both = np.sort(np.concatenate((p, q)), kind="stable")
-            shared = int((both[1:] == both[:-1]).sum())
-            good.append(100 * shared >= percent * (len(p) + len(q) - shared))
+        good = [
+            _similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+            for x, y in zip(batch["x"], batch["y"])
+        ]
         yield batch.loc[good, ["a", "b"]]
 
 
@@ -270,15 +310,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.first("sketch").alias("sketch"), F.first("bands").alias("bands")
     )
     candidates = stored(_candidates(classes), "candidates")
-    first = stored(_pairs(candidates.withColumn("root", F.col("class")), every=False), "pairs")
+    likely = _in_cells(candidates, _Cell.likely, "a binary, b binary").distinct()
     wanted = candidates.select("class").distinct()
     sets = _sets(docs, worded, wanted)
-    roots = stored(components(_confirmed(first, sets, percent)), "roots")
+    roots = stored(components(_confirmed(likely, sets, percent)), "roots")
     known = candidates.join(roots.toDF("class", "root"), "class", "left").withColumn(
         "root", F.coalesce("root", "class")
     )
-    second = _pairs(known, every=True).join(first, ["a", "b"], "left_anti")
-    second = stored(_confirmed(second, sets, percent), "links")
+    still = stored(_in_cells(known.select(_names(_CELL)), _Cell.open_rows, _CELL), "open")
+    second = _in_cells(
+        still.join(sets, "class"), lambda cell: cell.links(percent), "a binary, b binary"
+    )
+    second = stored(second, "links")
     if not second.isEmpty():
         joined = second.union(roots.toDF("a", "b"))
         roots = stored(components(joined), "roots")
