@@ -270,14 +270,16 @@ def _runs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fit_sample(docs: DataFrame, texts: int = SAMPLE_TEXTS) -> LanguageField:
     """Fit on the `texts` rows of each language that come first by a hash of their id.
 
-    Rows set aside (crc32 of the id modulo 3 is 1) and rows without a language are not used. Only
+    Rows set aside (crc32 of the id modulo 3 is 1) and rows without a language or id are not used. Only
     ids are ranked, and Spark drops ids beyond the limit before it shuffles them; the chosen ids, a
     bounded number for each language, pick the texts, of which only a bounded number of runs of
     words reaches the driver.
     """
     rows = docs.select(
         docs["doc_id"].alias("key"), docs["lang"].alias("lang"), docs["text"].alias("text")
-    ).where(F.col("lang").isNotNull() & ~held_out(F.col("key"), 3, 1))
+    ).where(
+        F.col("lang").isNotNull() & F.col("key").isNotNull() & ~held_out(F.col("key"), 3, 1)
+    )
     place = F.xxhash64(F.col("key").cast("string"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(place, "key"))
     chosen = (

@@ -294,7 +294,8 @@ def _sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(key, n_shingles, component_id, kept) for every row; key is its doc_id.
+    """(key, class, n_shingles, component_id, kept) for every row; key is its doc_id, class a digest
+    of its words.
 
     Words are lower-cased (A-Z) runs without white space; a text's set has its distinct runs of five
     words, or all of its words as one run if it has fewer. Rows link if their sets' intersection is
@@ -328,14 +329,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     root = F.coalesce("root", "class")
     placed = rows.select("key", "class", "n_shingles").join(
         roots.toDF("class", "root"), "class", "left"
-    ).select("key", "n_shingles", root.alias("root"))
+    ).select("key", "class", "n_shingles", root.alias("root"))
     least = placed.where("n_shingles > 0").groupBy("root").agg(F.min("key").alias("least"))
     # Rows without words need no component: they get a root of their own that none has.
     placed = placed.withColumn("root", F.when(F.col("n_shingles") > 0, F.col("root")))
     out = placed.join(least, "root", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("key"))
     return out.select(
-        "key", "n_shingles", component.alias("component_id"),
+        "key", "class", "n_shingles", component.alias("component_id"),
         component.eqNullSafe(F.col("key")).alias("kept"),
     )
 
@@ -347,7 +348,7 @@ def representatives(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Of rows without an id all stay whose component has no row with one, and all without words.
     """
     found = near_duplicates(docs, percent)
-    gone = found.where(~F.col("kept")).select("key").distinct()
+    gone = found.where("not kept and key is not null").select("key").distinct()
     repeated = (
         found.where("kept and key is not null").groupBy("key").count().where("count > 1")
         .select("key")
@@ -358,9 +359,21 @@ def representatives(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                        docs["doc_id"].alias("key"))
     if tags.count() <= BROADCAST_IDS:
         tags = F.broadcast(tags)
-    rows = rows.join(tags, "key", "left")
-    single = rows.where("gone is null").select("row.*")
-    again = rows.where("not gone").groupBy("key").agg(
+    named = rows.where("key is not null").join(tags, "key", "left")
+    single = named.where("gone is null").select("row.*")
+    again = named.where("not gone").groupBy("key").agg(
         F.min_by("row", F.struct("row.text")).alias("row")
     )
-    return single.unionByName(again.select("row.*"))
+    # Rows without an id are told apart by their words.
+    nameless = rows.where("key is null").select("row", _class(F.col("row.text")).alias("class"))
+    linked = found.where("not kept and key is null").select("class").distinct()
+    nameless = nameless.join(linked, "class", "left_anti")
+    return single.unionByName(again.select("row.*")).unionByName(nameless.select("row.*"))
+
+
+def _class(text: Column) -> Column:
+    @F.pandas_udf("binary")
+    def digest(texts: pd.Series) -> pd.Series:
+        return texts.fillna("").map(_fingerprint)
+
+    return digest(text.cast("string"))

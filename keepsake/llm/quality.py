@@ -26,7 +26,8 @@ GRAMS = (2, 3, 4)
 DIMENSIONS = 16
 # The most labelled rows that a model is fitted on.
 SAMPLE_ROWS = 3000
-EPOCHS = 8
+# Steps of gradient descent, whatever the size of the sample.
+STEPS = 24_000
 RATE = 1.0
 THRESHOLD = 0.3
 # Stands for the end of a text, so that an empty text has a feature as well.
@@ -94,7 +95,7 @@ class SubwordClassifier:
 
 def fit(
     examples: list[tuple[np.ndarray, np.ndarray, int]],
-    epochs: int = EPOCHS,
+    steps: int = STEPS,
     rate: float = RATE,
     seed: int = 1,
 ) -> SubwordClassifier:
@@ -103,9 +104,9 @@ def fit(
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS))
     layer, bias = np.zeros((2, DIMENSIONS)), np.zeros(2)
     weights = [n / n.sum() for _, n, _ in examples]
-    steps, step = max(1, epochs * len(examples)), 0
-    for _ in range(epochs):
-        for i in rng.permutation(len(examples)):
+    step = 0
+    while examples and step < steps:
+        for i in rng.permutation(len(examples))[: steps - step]:
             now = rate * (1 - step / steps)
             step += 1
             bucket, share, label = examples[i][0], weights[i], examples[i][2]
