@@ -55,9 +55,13 @@ def classification_report(
 ) -> DataFrame:
     """``(class, precision, recall, f1, support)`` per class and an ``avg / total`` row.
 
-    The last row weights by support. A 0/0 counts as 0.0.
+    The last row weights by support. A 0/0 counts as 0.0. A row without a label or a prediction is
+    an error.
     """
     cells = confusion(scored, label, prediction)
+    refused = F.raise_error(F.lit("rows without a label or a prediction")).cast("long")
+    known = F.col("label").isNotNull() & F.col("prediction").isNotNull()
+    cells = cells.withColumn("n", F.when(known, F.col("n")).otherwise(refused))
     none = F.lit(0).cast("long")
     right = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(none)
 
@@ -98,15 +102,21 @@ def classification_report(
 
 
 def accuracy(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Share of rows whose prediction equals the label."""
-    hit = (column(label) == column(prediction)).cast("double")
-    return scored.agg(F.avg(hit).alias("accuracy"))
+    """Share of rows whose prediction equals the label. A row without either is an error."""
+    return scored.agg(_hit_share(column(prediction), column(label)).alias("accuracy"))
 
 
 def accuracy_percent(scored: DataFrame, predicted_class: Column, actual_class: Column) -> DataFrame:
-    """Percentage of rows whose predicted class is the actual class."""
-    hit = (predicted_class == actual_class).cast("double")
-    return scored.agg((F.lit(100.0) * F.avg(hit)).alias("accuracy_percent"))
+    """Percentage of rows whose predicted class is the actual class. A row without either is an
+    error."""
+    share = _hit_share(predicted_class, actual_class)
+    return scored.agg((F.lit(100.0) * share).alias("accuracy_percent"))
+
+
+def _hit_share(predicted: Column, actual: Column) -> Column:
+    hit = predicted == actual
+    refused = F.raise_error(F.lit("rows without a label or a prediction")).cast("double")
+    return F.when(F.count_if(hit.isNull()) == 0, F.avg(hit.cast("double"))).otherwise(refused)
 
 
 def balanced_accuracy(
@@ -166,6 +176,7 @@ def evaluate(
     if len(areas) < len(metrics):
         counts["hit_pos"] = F.count_if(positive & (column(prediction) == 1))
         counts["hit_neg"] = F.count_if(negative & (column(prediction) == 0))
+        counts["predicted"] = F.count(column(prediction))
     if areas:
         number = without_nan(column(score).cast("double"))
         counts["n_scored"] = F.count(number)
@@ -189,6 +200,12 @@ def evaluate(
         "area_under_pr": lambda: F.try_divide("pr", pos),
     }
     refused = F.raise_error(F.lit(f"{label} holds values other than 0 and 1"))
+    if "predicted" in counts:
+        blank = F.raise_error(F.lit(f"rows without a {prediction}")).cast("double")
+        for m in ("accuracy", "balanced_accuracy"):
+            values[m] = lambda value=values[m]: F.when(
+                F.col("predicted") == F.col("n_rows"), value()
+            ).otherwise(blank)
     rows = [
         F.struct(
             F.lit(m).alias("metric"),
@@ -283,8 +300,11 @@ def _area_sums(points: DataFrame) -> DataFrame:
     precision = true_pos / (true_pos + false_pos)
     # The curve starts at recall 0 with the precision of its first point.
     precision_before = F.coalesce(F.try_divide(true_before, true_before + false_before), precision)
+    # Always true. With it either area needs both counts, so the totals and the points are one table
+    # that is made once, also when a single area is asked for.
+    counted = true_pos + false_pos > 0
     return running.agg(
-        F.sum(F.col("neg") * (true_pos + true_before) / 2).alias("roc"),
+        F.sum(F.when(counted, F.col("neg") * (true_pos + true_before) / 2)).alias("roc"),
         F.sum(F.col("pos") * (precision + precision_before) / 2).alias("pr"),
     )
 

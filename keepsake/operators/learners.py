@@ -35,10 +35,12 @@ def forest(
     features: str = "features",
     weight: str | None = None,
     seed: int = DEFAULT_SEED,
+    **settings,
 ) -> RandomForestClassifier:
     """Random forest: gini, depth 10, 30 bins; 15 trees for churn, 5 for renewal.
 
-    ``weight`` names a row weight column, which makes the forest class-balanced.
+    ``weight`` names a row weight column, which makes the forest class-balanced. ``settings``
+    overrides any of MLlib's parameters by name.
     """
     learner = RandomForestClassifier(
         labelCol=label,
@@ -48,7 +50,7 @@ def forest(
         maxBins=FOREST_BINS,
         numTrees=FOREST_TREES[study],
         seed=seed,
-    )
+    ).setParams(**settings)
     return learner.setWeightCol(weight) if weight else learner
 
 
@@ -58,25 +60,33 @@ def logistic(
     label: str = "label_index",
     features: str = "features",
     weight: str | None = None,
+    **settings,
 ) -> LogisticRegression:
-    """Linear classifier: plain, or with an ``'l1'`` or ``'l2'`` penalty."""
+    """Linear classifier: plain, or with an ``'l1'`` or ``'l2'`` penalty.
+
+    ``strength`` is MLlib's, 1 / (rows * C) in terms of an inverse strength C. ``settings``
+    overrides MLlib's parameters by name, such as ``maxIter`` and ``tol``; whether a fit converged
+    is in the model's ``summary.totalIterations``.
+    """
     mixing = {None: 0.0, "l1": 1.0, "l2": 0.0}[penalty]
     learner = LogisticRegression(
         labelCol=label,
         featuresCol=features,
         regParam=strength if penalty else 0.0,
         elasticNetParam=mixing,
-    )
+    ).setParams(**settings)
     return learner.setWeightCol(weight) if weight else learner
 
 
-def linear_svc(label: str = "label_index", features: str = "features") -> LinearSVC:
+def linear_svc(
+    label: str = "label_index", features: str = "features", **settings
+) -> LinearSVC:
     """Support-vector classifier with a linear kernel. It gives a margin, not a probability.
 
-    The hinge loss has no smooth bottom, and each further step reads the training rows again, so
-    it stops at a relative improvement of 1e-4.
+    The solver stops as MLlib's does by default; ``settings`` (``maxIter``, ``tol``, ``regParam``)
+    overrides that.
     """
-    return LinearSVC(labelCol=label, featuresCol=features, regParam=0.01, tol=1e-4)
+    return LinearSVC(labelCol=label, featuresCol=features, regParam=0.01).setParams(**settings)
 
 
 def network(
@@ -86,18 +96,19 @@ def network(
     label: str = "label_index",
     features: str = "features",
     seed: int = DEFAULT_SEED,
+    **settings,
 ) -> MultilayerPerceptronClassifier:
     """Feed-forward network with the named hidden layers.
 
     Layer shape and task are the study's; the training is MLlib's: sigmoid hidden units, softmax
-    output, L-BFGS over the whole training set.
+    output, L-BFGS over the whole training set. ``settings`` overrides its parameters by name.
     """
     return MultilayerPerceptronClassifier(
         labelCol=label,
         featuresCol=features,
         layers=[inputs, *NETWORK_HIDDEN[shape], classes],
         seed=seed,
-    )
+    ).setParams(**settings)
 
 
 def classification_stages(

@@ -35,15 +35,16 @@ def correlations(
 ) -> DataFrame:
     """``(feature, r)``: Pearson correlation of each column with the target, in one pass.
 
-    Each pair uses the rows where both values are present. A column without variance has NULL.
+    Each pair uses the rows where both values are present and finite. A column without variance
+    has NULL.
     """
     features = [*columns, target] if include_target and target not in columns else list(columns)
-    y = _number(target)
+    y = _finite(target)
     measured = []
     for feature in features:
         # Both sides are masked to complete pairs: covar_pop does that by itself, the deviations
         # do not. F.corr is not used because it divides by zero on a constant column.
-        x = _number(feature)
+        x = _finite(feature)
         both = x.isNotNull() & y.isNotNull()
         spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
         r = without_nan(F.try_divide(F.covar_pop(x, y), spread))
@@ -71,7 +72,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     task multiplies its rows as blocks and hands on one row of sums per pair. A first pass takes
     the means, which are subtracted to keep the sums precise.
     """
-    numbers = df.select(*[_number(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    numbers = df.select(*[_finite(c).alias(f"c{i}") for i, c in enumerate(columns)])
     means = numbers.agg(*[F.avg(c) for c in numbers.columns]).first()
     shift = [m if m is not None and math.isfinite(m) else 0.0 for m in means]
     sums = numbers.mapInArrow(lambda batches: pair_sums(batches, shift), PAIR_SUMS)
@@ -125,16 +126,18 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(
-    df: DataFrame, train: DataFrame, label: str, weight: str = "weight", max_classes: int = 100
+    df: DataFrame, train: DataFrame, label: str, weight: str = "weight", literals: int = 100
 ) -> DataFrame:
-    """Add to ``df`` the class weights found in ``train``.
+    """Add to ``df`` the class weights found in ``train``; a class that it lacks has NULL.
 
-    The weights become a literal lookup in the row expression; the number of classes is checked
-    first, so nothing that grows with the data reaches the driver.
+    Up to ``literals`` classes, the weights become a literal lookup in the row expression. A table
+    of more is joined, by whatever join suits its size.
     """
-    found = class_weights(train, label).limit(max_classes + 1).collect()
-    if len(found) > max_classes:
-        raise ValueError(f"{label} has more than {max_classes} classes")
+    weights = class_weights(train, label)
+    found = weights.limit(literals + 1).collect()
+    if len(found) > literals:
+        other = weights.select(F.col("label").alias("_class"), F.col("weight").alias(weight))
+        return df.join(other, column(label).eqNullSafe(F.col("_class")), "left").drop("_class")
     value = F.lit(None).cast("double")
     for row in found:
         value = F.when(column(label).eqNullSafe(F.lit(row["label"])), row["weight"]).otherwise(
@@ -143,5 +146,10 @@ def with_class_weight(
     return df.withColumn(weight, value)
 
 
+def _finite(name: str) -> Column:
+    value = _number(name)
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def _number(name: str) -> Column:
     return without_nan(column(name).cast("double"))

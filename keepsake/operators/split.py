@@ -1,7 +1,8 @@
 """Holdout splits by row key: reproducible, disjoint and complete under any partitioning.
 
 A row's side depends only on its key and the seed, never on row order, partition or retry. Equal
-keys fall on one side, so copies of a row cannot sit in both train and test.
+keys fall on one side of a hash split, so copies of a row cannot sit in both train and test. An exact
+split cuts through at most one key, the last one of the test part.
 """
 
 from __future__ import annotations
@@ -38,36 +39,49 @@ def split(
     return df.where(~test), df.where(test)
 
 
-def exactly_held_out(
+def split_exact(
     df: DataFrame, key: Sequence[str], share: float = SHARE_QUARTER, seed: int = DEFAULT_SEED
-) -> Column:
-    """True for exactly ``ceil(rows * share)`` rows: those with the smallest key hashes.
+) -> tuple[DataFrame, DataFrame]:
+    """``(train, test)`` with exactly ``ceil(rows * share)`` rows in test: those with the smallest
+    key hashes.
 
     Rows are never sorted as a whole. Passes over the key columns count hashes by leading digits
     and narrow down to the last hash that belongs in the test part; the split is then one
     comparison per row. Where several rows share that last key, they are told apart by a hash of
-    the whole row; rows equal in every column stay together.
+    the whole row. Only the copies of one row, equal in every column, can end up on both sides: as
+    many of them as the size asks for.
     """
     first = key_hash(key, seed)
     hashes = df.select(first.alias("hash"))
     rows, last, missing = _smallest(hashes, lambda n: math.ceil(n * share))
     if rows == 0 or last is None:
-        return F.lit(False)
+        return df, df.where(F.lit(False))
     if missing == 0:
-        return first <= F.lit(last)
+        test = first <= F.lit(last)
+        return df.where(~test), df.where(test)
     plain = [f.name for f in df.schema if not isinstance(f.dataType, UserDefinedType)]
     second = F.md5(F.to_json(F.struct(*[column(c) for c in plain])))
-    tied = df.where(first == F.lit(last)).select(second.alias("hash"))
-    _, last_row, _ = _smallest(tied, lambda _: missing)
-    return (first < F.lit(last)) | ((first == F.lit(last)) & (second <= F.lit(last_row)))
-
-
-def split_exact(
-    df: DataFrame, key: Sequence[str], share: float = SHARE_QUARTER, seed: int = DEFAULT_SEED
-) -> tuple[DataFrame, DataFrame]:
-    """``(train, test)`` with exactly ``ceil(rows * share)`` rows in test."""
-    test = exactly_held_out(df, key, share, seed)
-    return df.where(~test), df.where(test)
+    at_last = first == F.lit(last)
+    _, last_row, copies = _smallest(df.where(at_last).select(second.alias("hash")),
+                                    lambda _: missing)
+    if copies == 0:
+        test = (first < F.lit(last)) | (at_last & (second <= F.lit(last_row)))
+        return df.where(~test), df.where(test)
+    below = (first < F.lit(last)) | (at_last & (second < F.lit(last_row)))
+    tied = at_last & (second == F.lit(last_row))
+    equal = df.where(tied)
+    train, test = df.where(~below & ~tied), df.where(below)
+    if len(plain) < len(df.columns):  # equal but for columns that have no hash
+        return train.unionAll(equal.offset(copies)), test.unionAll(equal.limit(copies))
+    rest = equal.count() - copies
+    return train.unionAll(_repeat(equal, rest)), test.unionAll(_repeat(equal, copies))
+
+
+def _repeat(equal: DataFrame, times: int) -> DataFrame:
+    """One of the equal rows, so many times, made in as many tasks as the session's default."""
+    one = equal.limit(1).withColumn("_one", F.lit(1))
+    count = equal.sparkSession.range(times).select(F.lit(1).alias("_one"))
+    return count.join(F.broadcast(one), "_one").select(*[column(c) for c in equal.columns])
 
 
 def _smallest(hashes: DataFrame, wanted) -> tuple[int, str | None, int]:

@@ -404,3 +404,21 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'area_under_roc', round(roc, 6) FROM areas
         UNION ALL SELECT 'area_under_pr', round(pr, 6) FROM areas""",
 }
+
+_MARKED = """SELECT l_linenumber, ((l_linenumber % 2 = 0) = (l_quantity < 35))::INT AS label
+             FROM lineitem"""
+_GROUP_MEANS = f"""
+    SELECT l_linenumber, count(*) AS n, round(avg(label), 4) AS probability
+    FROM ({_MARKED}) GROUP BY l_linenumber"""
+_GROUP_MEANS_WEIGHTED = f"""
+    WITH m AS ({_MARKED}), w AS (
+        SELECT label, (SELECT count(*) FROM m) / (count(*) * 2.0::DOUBLE) AS weight
+        FROM m GROUP BY label)
+    SELECT l_linenumber, count(*) AS n, round(sum(label * weight) / sum(weight), 4) AS probability
+    FROM m JOIN w USING (label) GROUP BY l_linenumber"""
+for _learner in ("logreg", "forest"):
+    ORACLE[f"{_learner}_group_means"] = _GROUP_MEANS
+    ORACLE[f"{_learner}_group_means_weighted"] = _GROUP_MEANS_WEIGHTED
+ORACLE["split_exact_repeats"] = """
+    SELECT 'test' AS part, ceil(count(*) * 0.3::DOUBLE)::BIGINT AS n FROM lineitem
+    UNION ALL SELECT 'train', (count(*) - ceil(count(*) * 0.3::DOUBLE))::BIGINT FROM lineitem"""

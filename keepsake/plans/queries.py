@@ -369,6 +369,13 @@ def split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parts(sp.split_exact(items, LINE_KEY, C.SHARE_THREE_TENTHS))
 
 
+def split_exact_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of an exact split of a table whose whole rows repeat: three in ten of all flags."""
+    flags = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus")
+    parts = _parts(sp.split_exact(flags, ["l_returnflag", "l_linestatus"], C.SHARE_THREE_TENTHS))
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
 def split_quarter_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids of a held-out quarter."""
     ids = table(spark, sf_dir, "orders").select("o_orderkey")
@@ -415,6 +422,49 @@ def quality_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.join(marked, "doc_id")
 
 
+def _group_means(
+    learner: Estimator, hot: bool, weighted: bool, digits: int = 4
+) -> Callable[[SparkSession, str], DataFrame]:
+    """Fit a label that depends on the line number, score all line items, and list the fitted
+    probability of each line number. It is known without a fit: the (weighted) mean label."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        items = table(spark, sf_dir, "lineitem").select(
+            F.col("l_linenumber").cast("double").alias("line"),
+            ((F.col("l_linenumber") % 2 == 0) == (F.col("l_quantity") < 35))
+            .cast("double").alias("label"),
+        )
+        rows, = sinks.keep_in_memory(items)
+        if weighted:
+            rows = pf.with_class_weight(rows, rows, "label")
+        shaped = [ft.one_hot(["line"])] if hot else []
+        stages = [*shaped, ft.assemble(["line_hot" if hot else "line"]), learner()]
+        scored = Pipeline(stages=stages).fit(rows).transform(rows)
+        chance = vector_to_array("probability")[1]
+        return scored.groupBy(F.col("line").cast("int").alias("l_linenumber")).agg(
+            F.count(F.lit(1)).alias("n"), F.round(F.max(chance), digits).alias("probability")
+        )
+
+    return query
+
+
+def _group_mean_queries() -> dict[str, Query]:
+    found = {}
+    for suffix, weight in (("", None), ("_weighted", "weight")):
+        found[f"logreg_group_means{suffix}"] = _group_means(
+            lambda w=weight: ln.logistic(label="label", weight=w, tol=1e-12, maxIter=500),
+            hot=True, weighted=bool(weight),
+        )
+        found[f"forest_group_means{suffix}"] = _group_means(
+            lambda w=weight: ln.forest(
+                "churn", "label", weight=w, numTrees=1, bootstrap=False,
+                featureSubsetStrategy="all",
+            ),
+            hot=False, weighted=bool(weight),
+        )
+    return found
+
+
 def _share(top: str, bottom: str) -> Column:
     return F.coalesce(F.try_divide(top, bottom), F.lit(0.0))
 
@@ -577,10 +627,12 @@ QUERIES: dict[str, Query] = {
         class_weights, class_weight_column, label_index_freq, label_index_multi, label_decode,
         onehot_features, onehot_label, vector_assemble_dense, auto_categorical,
         auto_categorical_rows, standardize, standardize_sample, center_only, split_hash,
-        split_exact, split_quarter_ids, score_argmax, score_softmax, prediction_listing,
+        split_exact, split_exact_repeats, split_quarter_ids, score_argmax, score_softmax,
+        prediction_listing,
         classification_report, balanced_accuracy, accuracy, accuracy_pct, auc_roc, auc_pr,
         metric_table,
     )
 }
 QUERIES.update(_learner_queries())
+QUERIES.update(_group_mean_queries())
 QUERIES.update({f"study_{name}": study_metrics(name) for name in studies.STUDIES})

@@ -35,5 +35,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table, below the shared folder."""
-    return f"{shared_folder(spark)}/keepsake/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a written table, below the shared folder.
+
+    It lasts as long as the driver, which deletes it when it ends: results that are still to be
+    computed may read it until then.
+    """
+    path = f"{shared_folder(spark)}/keepsake/{name}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path

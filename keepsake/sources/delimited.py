@@ -82,14 +82,16 @@ def read_with_header(
     """Read CSV that has a header line, quotes honoured.
 
     ``types`` maps header names to string, double or boolean; only those columns are read, by
-    name, in whatever order the file has them. Without it every column is read as text. No pass
-    over the data infers anything; only the header line is looked at.
+    name, in whatever order the files have them. Without it every column is read as text. No pass
+    over the data infers anything; only header lines are looked at. All files of a folder must have
+    the same header: a file with another one, or with another order of names, fails the read.
 
     ``multi_line`` allows line ends inside quoted cells. Such a file cannot be cut into parts, so
     one task reads it whole; leave it off for large files.
     """
     cells = spark.read.csv(
-        path, header=True, sep=separator, quote='"', escape='"', multiLine=multi_line
+        path, header=True, enforceSchema=False, sep=separator, quote='"', escape='"',
+        multiLine=multi_line,
     )
     if types is None:
         return cells

@@ -55,10 +55,19 @@ def test_exact_size_when_keys_repeat(spark, monkeypatch):
 
 def test_equal_rows_share_a_side(spark):
     df = spark.range(900).select((F.col("id") % 3).alias("id"))
-    for divide in (sp.split, sp.split_exact):
-        train, test = divide(df, ["id"], 0.5)
-        assert train.count() + test.count() == 900
-        assert not set(ids(train)) & set(ids(test))
+    train, test = sp.split(df, ["id"], 0.5)
+    assert train.count() + test.count() == 900
+    assert not set(ids(train)) & set(ids(test))
+
+
+@pytest.mark.parametrize("distinct", [1, 3, 10])
+def test_exact_size_when_whole_rows_repeat(spark, distinct):
+    df = spark.range(1000).select((F.col("id") % distinct).alias("id"), F.lit("x").alias("text"))
+    train, test = sp.split_exact(df, ["id", "text"], 0.25)
+    assert test.columns == train.columns == df.columns
+    assert (test.count(), train.count()) == (250, 750)
+    assert sorted(ids(train) + ids(test)) == sorted(ids(df))
+    assert len(set(ids(train)) & set(ids(test))) <= 1
 
 
 def test_narrowing_reaches_the_last_hash(spark, monkeypatch):
