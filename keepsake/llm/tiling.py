@@ -30,6 +30,8 @@ COVERAGE = 0.5
 # Length at which the search for runs starts, if both texts are that long.
 _FIRST_LENGTH = 40
 _BITMAP_BITS = 22
+# A hash marks two places: its low bits, and those from this bit on.
+_SECOND = 26
 _BASE, _MODULUS = 1_000_003, (1 << 61) - 1
 _BREAK = re.compile(r"[\x20\x09-\x0D]+")
 _UPPER = {c: c + 32 for c in range(65, 91)}
@@ -146,6 +148,8 @@ def _hits(bitmap: np.ndarray, short: list[int]):
                 for width in [SEED_WORDS, *short]:
                     hashes, cuts = tx.run_hashes(plain, bounds, width, SEED_WORDS)
                     hit = np.flatnonzero(bitmap[(hashes & mask).astype(np.int64)])
+                    second = (hashes[hit] >> np.uint64(_SECOND)) & mask
+                    hit = hit[bitmap[second.astype(np.int64)]]
                     owner = np.searchsorted(cuts, hit, side="right") - 1
                     for i, h in zip(owner, hashes[hit].view(np.int64)):
                         seeds[i].append(h)
@@ -189,9 +193,10 @@ def tiled_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     seeds = items.mapInPandas(_seeds, "item string, seed long, n_words long")
     seeds = stored(seeds, "seeds")
-    bit = F.pmod("seed", F.lit(1 << _BITMAP_BITS)).cast("int")
+    size = F.lit(1 << _BITMAP_BITS)
+    both = F.array(F.pmod("seed", size), F.pmod(F.shiftrightunsigned("seed", _SECOND), size))
     bitmap = np.zeros(1 << _BITMAP_BITS, bool)
-    bits = seeds.select(bit.alias("bit")).distinct().toPandas()["bit"].to_numpy()
+    bits = seeds.select(F.explode(both).alias("bit")).distinct().toPandas()["bit"].to_numpy()
     bitmap[bits] = True
     short = [r[0] for r in seeds.where(F.col("n_words") < SEED_WORDS).select("n_words")
              .distinct().collect()]
