@@ -26,7 +26,7 @@ from keepsake.llm.wavelet import WaveletMatrix
 BLOCK_TOKENS = 1 << 20
 END_ID = 0
 # Chunks whose ids a task remembers; when full, the older half is forgotten.
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
 # A blank that is neither after nor before a printing character: cutting there changes the tokens.
 _NO_CUT = re.compile(r"\s (?:\s|\Z)")
 _TWO_GAPS = re.compile(r"\s\s")
