@@ -78,10 +78,14 @@ def split_exact(
 
 
 def _repeat(equal: DataFrame, times: int) -> DataFrame:
-    """One of the equal rows, so many times, made in as many tasks as the session's default."""
-    one = equal.limit(1).withColumn("_one", F.lit(1))
-    count = equal.sparkSession.range(times).select(F.lit(1).alias("_one"))
-    return count.join(F.broadcast(one), "_one").select(*[column(c) for c in equal.columns])
+    """One of the equal rows, so many times, made in as many tasks as a shuffle has."""
+    if times == 0:
+        return equal.where(F.lit(False))
+    parts = min(times, int(equal.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = equal.limit(1).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    own = F.lit(times // parts) + F.when(F.col("_part") < times % parts, 1).otherwise(0)
+    made = dealt.repartition(parts, "_part").withColumn("_n", F.explode(F.sequence(F.lit(1), own)))
+    return made.select(*[column(c) for c in equal.columns])
 
 
 def _smallest(hashes: DataFrame, wanted) -> tuple[int, str | None, int]:
