@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
 from functools import cache
 
@@ -25,39 +26,60 @@ from keepsake.llm.wavelet import WaveletMatrix
 # Ids after which a block ends with the document that reaches it.
 BLOCK_TOKENS = 1 << 20
 END_ID = 0
-# Chunks whose ids a task remembers; when full, the older half is forgotten.
-_REMEMBERED = 200_000
+# Chunks whose ids a task remembers at most: half of them in use, half from before.
+_REMEMBERED = 400_000
 # A blank that is neither after nor before a printing character: cutting there changes the tokens.
 _NO_CUT = re.compile(r"\s (?:\s|\Z)")
 _TWO_GAPS = re.compile(r"\s\s")
-_MARKS = ".,;:!?"
+# Chunks that byte-level files cut between letters, digits and marks and nowhere else. An apostrophe
+# may begin a piece with letters in it, and a blank another piece.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_SIMPLE = re.compile(rf"[{_LETTERS}0-9!-&(-/:-@\[-`{{-~]+")
+_PIECE = re.compile(rf"[{_LETTERS}]+|[0-9]+|[^{_LETTERS}0-9]+")
 
 
 class _Chunks(dict):
-    """Ids, as bytes, of a chunk of text behind `lead`; found when first asked for."""
+    """Ids, as bytes, of a chunk of text behind `lead`; found when first asked for.
+
+    When half of the places are taken, the chunks become those from before; a chunk that is not
+    asked for again by the next time is forgotten.
+    """
 
     def __init__(self, lead: str, owner: Encoder):
-        super().__init__({"": b""} if not lead else {})
-        self.lead, self.owner = lead, owner
+        super().__init__()
+        self.lead, self.owner, self.before = lead, owner, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= _REMEMBERED:
-            for old in [c for c, _ in zip(self, range(_REMEMBERED // 2)) if c]:
-                del self[old]
-        found = self[chunk] = self._find(chunk)
+        if len(self) >= _REMEMBERED // 2:
+            self.before = dict(self)
+            self.clear()
+        found = self.before.get(chunk)
+        if found is None:
+            found = self._find(chunk)
+        self[chunk] = found
         return found
 
     def _find(self, chunk: str) -> bytes:
-        if chunk.isascii() and chunk.isalpha():
-            return self.owner.word(self.lead + chunk)
+        owner = self.owner
+        if _SIMPLE.fullmatch(chunk):
+            first, *others = _PIECE.findall(chunk)
+            if not others:
+                return owner.piece(self.lead + chunk)
+            return self[first] + b"".join([owner.bare[part] for part in others])
         if "\n" in chunk and not _TWO_GAPS.search(f"{self.lead}{chunk} "):
             first, *others = chunk.split("\n")
-            bare, feed = self.owner.bare, self.owner.feed
-            return self[first] + b"".join(feed + bare[part] for part in others)
-        core = chunk.rstrip(_MARKS)
-        if core and core != chunk and core[-1].isalpha() and core[-1] < "ɐ":
-            return self[core] + self.owner.bare[chunk[len(core) :]]
-        return self.owner.plain(self.lead + chunk)
+            return self[first] + b"".join([owner.feed + owner.bare[part] for part in others])
+        return owner.plain(self.lead + chunk) if self.lead or chunk else b""
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level files write bytes: printing ones as they are, the others from U+0100 on."""
+    printing = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in printing)
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTES = _byte_letters()
 
 
 class Encoder:
@@ -91,10 +113,14 @@ class Encoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def word(self, text: str) -> bytes:
-        """ASCII letters, with at most a blank before them, which byte-level files write as U+0120."""
-        found = self.model.tokenize(text.replace(" ", "Ġ"))
-        return np.array([t.id for t in found], "<u4").tobytes()
+    def piece(self, text: str) -> bytes:
+        """A run of letters, digits or marks, with at most a blank before it."""
+        if text.isascii():
+            written = text.replace(" ", "Ġ")
+        else:
+            written = text.encode().decode("latin-1").translate(_BYTES)
+        ids = [t.id for t in self.model.tokenize(written)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

@@ -159,6 +159,18 @@ def test_chunks_give_the_tokenizers_ids():
         assert coder.encode(text) == coder.plain(text), repr(text)
 
 
+def test_random_chunks_give_the_tokenizers_ids(monkeypatch):
+    """Also while a task forgets chunks: it has room for forty."""
+    monkeypatch.setattr(tokens, "_REMEMBERED", 40)
+    coder = tokens.Encoder(VOCABULARY)
+    signs = list("ab éßÖÿɏɐ×÷ªµº²½19'\"st\n\t\r.,!#$-_`{}~|\\^@<> 　\u0301日😀") + ["'re", " the", "\xad"]
+    draw = np.random.default_rng(5)
+    for _ in range(3000):
+        text = "".join(signs[i] for i in draw.integers(0, len(signs), draw.integers(0, 15)))
+        ids = coder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == ids, text
+
+
 def test_wavelet_matrix_against_arrays():
     rng = np.random.default_rng(0)
     for v in ([], [5], [7] * 70, [1 << 31, 3], rng.zipf(1.3, 5000) % 900):
