@@ -1,6 +1,7 @@
 """Run one study on a file: ``spark-submit ... -m keepsake churn_forest INPUT OUTPUT``.
 
-Writes the metrics, the per-class report, the scored listing and the fitted model below OUTPUT.
+Writes the metrics, the per-class report, the scored listing, the held-out rows as CSV, the counts of
+missing cells and the fitted model below OUTPUT, and prints the listing's first rows.
 """
 
 from __future__ import annotations
@@ -9,8 +10,9 @@ import argparse
 
 from keepsake.operators import evaluate as ev
 from keepsake.operators.split import DEFAULT_SEED
-from keepsake.plans.studies import STUDIES, run_study
+from keepsake.plans.studies import FILLS, STUDIES, run_study
 from keepsake.session import build_session
+from keepsake.sources.sinks import preview, write_csv
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -20,16 +22,20 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("output", help="folder for the results; must not exist")
     parser.add_argument("--key", nargs="*", help="columns that identify a row; default all")
     parser.add_argument("--seed", type=int, default=DEFAULT_SEED)
+    parser.add_argument("--fill", choices=FILLS, help="for missing cells; default the study's")
     chosen = parser.parse_args(arguments)
 
     spark = build_session(f"keepsake-{chosen.study}")
-    result = run_study(spark, chosen.study, chosen.input, chosen.key, chosen.seed)
+    result = run_study(spark, chosen.study, chosen.input, chosen.key, chosen.seed, chosen.fill)
     key = chosen.key or [c for c in result.test.columns if c != "label"]
     # Rows are scored once; the metrics read what was written.
     result.listing(key).write.parquet(f"{chosen.output}/listing")
     listed = spark.read.parquet(f"{chosen.output}/listing")
     ev.evaluate(listed, score="probability").write.parquet(f"{chosen.output}/metrics")
     ev.classification_report(listed).write.parquet(f"{chosen.output}/report")
+    write_csv(result.test, f"{chosen.output}/held_out", key)
+    result.missing().write.parquet(f"{chosen.output}/missing")
+    preview(listed, key).show(truncate=False)
     result.model.save(f"{chosen.output}/model")
     result.release()
 

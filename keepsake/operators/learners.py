@@ -24,7 +24,7 @@ from keepsake.operators.features import (
     label_text,
     standardize,
 )
-from keepsake.operators.missing import mean_imputer
+from keepsake.operators.missing import flags_to_numbers, mean_imputer, zero_filler
 
 DEFAULT_SEED = 7
 
@@ -119,20 +119,28 @@ def classification_stages(
     scaling: str | None = None,
     categories: bool = False,
     impute: bool = False,
+    zeros: bool = False,
+    flags: Sequence[str] = (),
 ) -> Pipeline:
     """Everything from typed columns to a decoded prediction, as one pipeline.
 
     With ``labels`` (negative, positive) the label is text: it is indexed as ``label_index`` and
     the prediction is decoded as ``predicted_label``. Without, the label is a number already.
     ``scaling`` is None, ``'standard'`` or ``'center'``; ``categories`` re-indexes features with
-    few values; ``impute`` fills missing numbers with training means.
+    few values; ``impute`` fills missing numbers with training means, and the ``flags`` among the
+    columns with their share of true; ``zeros`` fills both with 0.0 instead.
     """
     if scaling and categories:
         raise ValueError("scaled features have no categories; choose one of the two")
     before = [label_index(label, labels, "label_index")] if labels else []
     after = [label_text("prediction", labels, "predicted_label")] if labels else []
+    if impute and zeros:
+        raise ValueError("missing cells are filled with means or with zeros; choose one of the two")
     if impute:
+        before.extend([flags_to_numbers(flags)] if flags else [])
         before.append(mean_imputer(columns))
+    if zeros:
+        before.append(zero_filler(columns))
     if scaling:
         shaped = [standardize("raw_features", "features", scale=scaling == "standard")]
     elif categories:

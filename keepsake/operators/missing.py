@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Imputer
+from pyspark.ml.feature import Imputer, SQLTransformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +43,24 @@ def mean_imputer(columns: Sequence[str]) -> Imputer:
     return Imputer(strategy="mean", inputCols=list(columns), outputCols=list(columns))
 
 
+def zero_filler(columns: Sequence[str]) -> SQLTransformer:
+    """The stage that fills numbers and flags with 0.0, under the same name."""
+    return _replaced(columns, "coalesce(nanvl(CAST({0} AS double), CAST(NULL AS double)), 0D)")
+
+
+def flags_to_numbers(columns: Sequence[str]) -> SQLTransformer:
+    """The stage that makes 0.0 and 1.0 of flags, so that they have a mean: their share of true."""
+    return _replaced(columns, "CAST({0} AS double)")
+
+
+def _replaced(columns: Sequence[str], expression: str) -> SQLTransformer:
+    quoted = ["`" + c.replace("`", "``") + "`" for c in columns]
+    made = ", ".join(f"{expression.format(c)} AS {c}" for c in quoted)
+    return SQLTransformer(
+        statement=f"SELECT * EXCEPT ({', '.join(quoted)}), {made} FROM __THIS__"
+    )
+
+
 def fill_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Replace NULL and NaN by 0.0 in the given (default: all) floating-point columns."""
     floating = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from keepsake import constants as C
 from keepsake.functions.labels import equals_label
@@ -19,16 +20,19 @@ from keepsake.functions.scores import element
 from keepsake.operators import columns as cols
 from keepsake.operators import evaluate as ev
 from keepsake.operators.learners import classification_stages, forest, logistic, network
-from keepsake.operators.missing import columns_without_values
+from keepsake.operators.missing import columns_without_values, null_audit
 from keepsake.operators.profile import top_correlations, with_class_weight
 from keepsake.operators.split import DEFAULT_SEED, split, split_exact
 from keepsake.sources import schemas
 from keepsake.sources.sinks import keep_in_memory
 
+FILLS = ("error", "mean", "zero")
+
 
 @dataclass(frozen=True)
 class Study:
-    """One study's choices. ``labels`` is set where the label column holds text."""
+    """One study's choices. ``labels`` is set where the label column holds text. ``impute`` makes
+    training means, not an error, its usual answer to a missing cell."""
 
     read: Callable[[SparkSession, str], DataFrame]
     learner: Callable[[int, str, str | None, int], Estimator]  # inputs, label, weight, seed
@@ -64,6 +68,11 @@ class Result:
     def metrics(self, metrics: Sequence[str] = ev.METRICS) -> DataFrame:
         return ev.evaluate(self.with_score(), metrics, self.label)
 
+    def missing(self) -> DataFrame:
+        """``(column, n_rows, n_missing)`` of the features: the cells that were filled."""
+        features = [c for c in self.train.columns if c != "label"]
+        return null_audit(cols.keep(self.train, features).unionAll(cols.keep(self.test, features)))
+
     def report(self) -> DataFrame:
         return ev.classification_report(self.scored, self.label)
 
@@ -160,33 +169,44 @@ def run_study(
     path: str,
     key: Sequence[str] | None = None,
     seed: int = DEFAULT_SEED,
+    fill: str | None = None,
 ) -> Result:
     """Run a study on a file or folder.
 
     ``key`` names the columns that identify a row for the split; by default all of them, so that
-    equal rows share a side. Everything is fitted on training rows only.
+    equal rows share a side. Everything is fitted on training rows only. ``fill`` says what becomes
+    of a missing or unreadable feature cell: ``'error'``, ``'mean'`` (of the training rows) or
+    ``'zero'``; by default what the study says. A missing label is always an error.
     """
     study = STUDIES[name]
-    return fit_and_score(study, study.read(spark, path), key, seed)
+    return fit_and_score(study, study.read(spark, path), key, seed, fill)
 
 
 def fit_and_score(
-    study: Study, table: DataFrame, key: Sequence[str] | None = None, seed: int = DEFAULT_SEED
+    study: Study,
+    table: DataFrame,
+    key: Sequence[str] | None = None,
+    seed: int = DEFAULT_SEED,
+    fill: str | None = None,
 ) -> Result:
+    fill = fill or ("mean" if study.impute else "error")
+    if fill not in FILLS:
+        raise ValueError(f"fill is one of {FILLS}, not {fill!r}")
     divide = split_exact if study.exact else split
     train, test = divide(table, key or table.columns, study.share, seed)
     features = cols.names_except(table, study.excluded)
     train, test = keep_in_memory(cols.keep(train, [*features, "label"]), test)
 
-    empty = columns_without_values(train, features) if study.impute else []
+    empty = columns_without_values(train, features) if fill == "mean" else []
     features = [c for c in features if c not in empty]
     label = "label_index" if study.labels else "label"
     learner = study.learner(
         len(features), label, "weight" if study.balanced else None, seed
     )
+    flags = [c for c in features if isinstance(table.schema[c].dataType, BooleanType)]
     stages = classification_stages(
-        learner, features, study.labels, scaling=study.scaling,
-        categories=study.categories, impute=study.impute,
+        learner, features, study.labels, scaling=study.scaling, categories=study.categories,
+        impute=fill == "mean", zeros=fill == "zero", flags=flags,
     )
     rows = with_class_weight(train, train, "label") if study.balanced else train
     model = stages.fit(rows)

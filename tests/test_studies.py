@@ -70,6 +70,44 @@ def test_means_and_scales_come_from_training_rows(spark, renewal_csv):
     result.release()
 
 
+@pytest.mark.parametrize("fill", ["mean", "zero"])
+def test_churn_lines_with_unreadable_cells(spark, churn_lines, tmp_path, fill):
+    """Every fifth account has an unreadable number and an unknown flag."""
+    path = str(tmp_path / "odd")
+    cells = F.split("value", ",")
+    odd = F.array_join(
+        F.transform(cells, lambda c, i: F.when(i == 4, "n/a").when(i == 7, "?").otherwise(c)), ","
+    )
+    hit = F.pmod(F.hash(F.get(cells, 3)), F.lit(5)) == 0
+    lines = spark.read.text(churn_lines)
+    lines.select(F.when(hit, odd).otherwise(F.col("value")).alias("value")).write.text(path)
+    n_odd = lines.where(hit).count()
+    result = studies.run_study(spark, "churn_forest", path, key=["phone"], fill=fill)
+    missing = {r.column: r.n_missing for r in result.missing().collect() if r.n_missing}
+    assert missing == {"int_plan": n_odd, "day_mins": n_odd} and n_odd > 0
+    assert result.scored.count() == result.test.count()
+    assert all(r.value is not None for r in result.metrics().collect())
+    model = str(tmp_path / "model")
+    result.model.save(model)
+    again = PipelineModel.load(model).transform(result.test)
+    assert again.select("phone", "prediction").exceptAll(
+        result.scored.select("phone", "prediction")
+    ).isEmpty()
+    filled = result.model.stages[1 if fill == "zero" else 2].transform(
+        result.test if fill == "zero" else result.model.stages[1].transform(result.test)
+    )
+    flag = result.train.agg(F.avg(F.col("int_plan").cast("double"))).first()[0]
+    odd_rows = filled.join(result.test.where("int_plan is null").select("phone"), "phone")
+    expected = 0.0 if fill == "zero" else flag
+    assert [r.int_plan for r in odd_rows.collect()] == pytest.approx([expected] * odd_rows.count())
+    result.release()
+
+
+def test_fill_is_a_known_word(spark, churn_lines):
+    with pytest.raises(ValueError, match="fill"):
+        studies.run_study(spark, "churn_forest", churn_lines, fill="median")
+
+
 def test_feature_without_values_is_dropped_and_named(spark, renewal_csv, tmp_path):
     path = str(tmp_path / "gap")
     table = spark.read.csv(renewal_csv, header=True)
@@ -104,6 +142,9 @@ def test_command_line(spark, churn_lines, tmp_path):
     classes = {r["class"] for r in spark.read.parquet(out + "/report").collect()}
     assert classes == {"0.0", "1.0", "avg / total"}
     listing = spark.read.parquet(out + "/listing")
+    held_out = spark.read.csv(out + "/held_out", header=True)
+    assert held_out.columns[0] == "phone" and held_out.count() == listing.count()
+    assert {r.n_missing for r in spark.read.parquet(out + "/missing").collect()} == {0}
     model = PipelineModel.load(out + "/model")
     again = model.transform(schemas.read_churn(spark, churn_lines)).select("phone", "prediction")
     joined = listing.join(again.withColumnRenamed("prediction", "again"), "phone")
