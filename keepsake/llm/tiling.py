@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepsake.llm import text as tx
@@ -162,6 +162,12 @@ def _hits(bitmap: np.ndarray, short: list[int]):
     return find
 
 
+def _row(key: Column, text: Column) -> Column:
+    """A digest of an id and a text: null for a null text, different for a null and an empty id."""
+    size = F.coalesce(F.length(key), F.lit(-1)).cast("string")
+    return F.md5(F.concat(size, F.lit("|"), F.coalesce(key, F.lit("")), F.lit("|"), text))
+
+
 def _tile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         item = [words(t) for t in batch["item_text"]]
@@ -204,7 +210,7 @@ def tiled_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         docs["doc_id"].cast("string").alias("key"), docs["text"].cast("string").alias("text")
     ).where("text is not null")
     hit = texts.mapInPandas(_hits(bitmap, short), "key string, text string, seeds array<long>")
-    hit = stored(hit.withColumn("row", F.md5(F.concat_ws("|", "key", "text"))), "hits")
+    hit = stored(hit.withColumn("row", _row(F.col("key"), F.col("text"))), "hits")
     found = hit.select("row", F.explode("seeds").alias("seed")).join(
         seeds.select("item", "seed").distinct(), "seed"
     )
@@ -234,11 +240,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """The rows of `docs`, with all of their columns, that no item is found in."""
-    gone = stored(contaminated(docs, benchmark, coverage).select("key"), "contaminated")
+    """The rows of `docs`, with all of their columns, that no item is found in.
+
+    Rows that share an id are one document and go together; rows without an id are judged each by
+    its own text. A row with neither id nor text stays.
+    """
+
+    def tag(key: Column, row: Column) -> Column:
+        return F.coalesce(F.concat(F.lit("id "), key), F.concat(F.lit("text "), row))
+
+    found = tiled_pairs(docs, benchmark).where(F.col("coverage") >= coverage)
+    gone = found.select(tag(F.col("key"), F.col("row")).alias("tag")).distinct()
+    gone = stored(gone, "contaminated")
+    key, text = docs["doc_id"].cast("string"), docs["text"].cast("string")
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-        docs["doc_id"].cast("string").alias("doc_key"),
+        tag(key, _row(key, text)).alias("tag"),
     )
-    match = F.col("doc_key").eqNullSafe(F.col("key"))
-    return rows.join(gone, match, "left_anti").select("row.*")
+    return rows.join(gone, "tag", "left_anti").select("row.*")

@@ -291,6 +291,15 @@ def test_contaminated(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 5, 6, 7, 8]
     assert tiling.contaminated(df.limit(0), bench).count() == 0
     assert tiling.decontaminated(df, bench.limit(0)).count() == len(docs)
+    # Rows without an id are documents of their own.
+    nameless = spark.createDataFrame(
+        [(None, text), (None, filler), (None, None), (None, f"8|{text}"), (8, text), (11, filler)],
+        df.select("doc_id", "text").schema,
+    )
+    kept = tiling.decontaminated(nameless, bench).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(
+        [(None, filler), (None, None), (11, filler)], key=str
+    )
 
 
 # --- Shards --------------------------------------------------------------------------------
