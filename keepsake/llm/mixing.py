@@ -166,10 +166,12 @@ def mix_counts(docs: DataFrame, seed: int = 7, **settings) -> DataFrame:
 def mixed(docs: DataFrame, seed: int = 7, **settings) -> DataFrame:
     """The mix itself: each row of `docs` as often as it is taken, with all of its columns.
 
-    Only the plan, one row per source, is joined to the rows; texts are shuffled only if there are
-    too many sources for Spark to broadcast.
+    Only the plan, one row per source, is joined to the rows. It is stored first, so that Spark knows
+    its size before it chooses the join: texts are shuffled only if there are too many sources for
+    Spark to broadcast.
     """
     wanted = plan(measured(docs, seed), **settings).select("source", "whole", "last")
+    wanted = stored(wanted, "plan")
     tag, body = "_plan_source", "_body"
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias(body),
