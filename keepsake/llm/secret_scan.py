@@ -1,10 +1,10 @@
 """Secret scans: fixed patterns, and a token-efficiency test for random strings.
 
 A byte-pair vocabulary spends few tokens on words and many on random strings, so a string with few
-characters per token is likely a key. Candidates are runs of key characters that mix kinds of
-characters. Before the test, known digests (hexadecimal of the usual lengths, which the hex pattern
-lists anyway) and identifiers (UUIDs, numbers, addresses, paths, dates, words joined by marks) are
-set aside. Added spans never replace those of the patterns.
+characters per token is likely a key, of letters alone too. Candidates are runs of key characters.
+Known digests (hexadecimal of the usual lengths, which the hex pattern lists anyway), UUIDs and
+numbers are set aside, and so are names and paths whose parts, joined by marks, take few tokens
+themselves. Added spans never replace those of the patterns.
 """
 
 from __future__ import annotations
@@ -42,9 +42,11 @@ _IS_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _IDENTIFIERS = re.compile(
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"  # UUID
     r"|[0-9+/_=-]+"  # numbers, dates, rules
-    r"|[A-Za-z]+([+/_=-]+[A-Za-z]+)*[+/_=-]*"  # words, joined words, paths of words
-    r"|[+/_=-]*([A-Za-z]{2,}[0-9]{0,4}|[0-9]{1,4})([+/_=-]+([A-Za-z]{2,}[0-9]{0,4}|[0-9]{1,4}))*"
 )
+_MARKS = re.compile(r"[+/_=-]+")
+# A part of a joined name; parts of so few letters can be abbreviations.
+_PART = re.compile(r"([A-Za-z]*)[0-9]{0,4}")
+_ABBREVIATION = 4
 
 
 @cache
@@ -58,16 +60,29 @@ def token_counter(path: str, pattern: str) -> Callable[[str], int]:
     return lambda s: len(coding.encode_ordinary(s))
 
 
+def _is_joined(s: str, n_tokens: Callable[[str], int]) -> bool:
+    """Is it made of words joined by marks? One token each, or few for the longer ones and for all."""
+    parts = [p for p in _MARKS.split(s) if p]
+    found = [_PART.fullmatch(p) for p in parts]
+    if len(parts) < 2 or None in found:
+        return False
+    words = [m[1].lower() for m in found if m[1]]
+    spent = [min(n_tokens(w), n_tokens(" " + w)) for w in words]
+    if all(n == 1 for n in spent) and all(p.isalpha() or p.isdigit() for p in parts):
+        return True
+    if any(len(w) <= MOST_CHARACTERS_PER_TOKEN * n for w, n in zip(words, spent)
+           if len(w) > _ABBREVIATION):
+        return False
+    return sum(map(len, words)) > MOST_CHARACTERS_PER_TOKEN * sum(spent)
+
+
 def is_random(s: str, n_tokens: Callable[[str], int]) -> bool:
     """The test itself, for one candidate."""
     if _IDENTIFIERS.fullmatch(s):
         return False
     if _IS_HEX.fullmatch(s) and len(s) in _DIGEST_LENGTHS:
         return False
-    kinds = (re.search("[a-z]", s), re.search("[A-Z]", s), re.search("[0-9]", s))
-    if sum(k is not None for k in kinds) < 2:
-        return False
-    return len(s) <= MOST_CHARACTERS_PER_TOKEN * n_tokens(s)
+    return len(s) <= MOST_CHARACTERS_PER_TOKEN * n_tokens(s) and not _is_joined(s, n_tokens)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
