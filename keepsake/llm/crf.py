@@ -11,7 +11,6 @@ into segments whose transfer matrices are built side by side, then chained.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -39,7 +38,6 @@ RATE = 0.5
 _SEGMENT = 64
 _AFFIXES = (1, 2, 3)
 _GRAMS = (1, 2, 3)
-_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 @cache
@@ -53,17 +51,23 @@ def _letters() -> tuple[np.ndarray, np.ndarray]:
     )
 
 
+def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The lower-case code points of all texts, where words start and end in them, and which word is
+    each text's first (and, last, the number of words)."""
+    is_letter, lower = _letters()
+    codes, bounds = tx.code_points(texts)
+    codes = lower[codes]
+    starts, ends = tx.spans(is_letter[codes])
+    return codes, starts, ends, np.searchsorted(starts, bounds)
+
+
 def _features(texts: list[str]) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
     """Feature buckets of the distinct words.
 
     Returns (arrays of (bucket, distinct word), in ascending order of these), the number of features
     of each distinct word, which of them each word is, and where each text's words begin.
     """
-    is_letter, lower = _letters()
-    codes, bounds = tx.code_points(texts)
-    codes = lower[codes]
-    starts, ends = tx.spans(is_letter[codes])
-    cuts = np.searchsorted(starts, bounds)
+    codes, starts, ends, cuts = _words(texts)
     roll = tx.Rolling(codes)
     lexicon, first, which = np.unique(
         roll.hashes(starts, ends), return_index=True, return_inverse=True
@@ -215,6 +219,7 @@ def fit(runs: list[tuple[str, str]], epochs: int = EPOCHS, rate: float = RATE, s
     squares, moved = np.full((BUCKETS, k), 1e-4), np.full((k, k), 1e-4)
     rng = np.random.default_rng(seed)
     number = {lang: i for i, lang in enumerate(languages)}
+    sizes = np.diff(_words([words for words, _ in runs])[3]).tolist()
     model = LanguageField(languages, weights, transitions)
     for _ in range(epochs):
         order = rng.permutation(len(runs))
@@ -222,9 +227,9 @@ def fit(runs: list[tuple[str, str]], epochs: int = EPOCHS, rate: float = RATE, s
         for a in range(0, len(order), batch):
             texts, marks = [], []
             for b in range(a, min(a + batch, len(order)), _RUNS_IN_SEQUENCE):
-                own = [runs[i] for i in order[b : b + _RUNS_IN_SEQUENCE]]
-                texts.append(" ".join(words for words, _ in own))
-                marks += [number[lang] for w, lang in own for _ in range(len(_LETTERS.findall(w)))]
+                own = order[b : b + _RUNS_IN_SEQUENCE]
+                texts.append(" ".join(runs[i][0] for i in own))
+                marks += [number[runs[i][1]] for i in own for _ in range(sizes[i])]
             features = found, n, which, bounds = _features(texts)
             gold = np.array(marks, np.int64)
             emissions, _ = model._emissions(*features)
@@ -260,7 +265,9 @@ def _runs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for text, lang in zip(batch["text"].fillna(""), batch["lang"]):
-            words = _LETTERS.findall(text.lower())
+            codes, starts, ends, _ = _words([text])
+            lowered = codes.tobytes().decode("utf-32-le", "surrogatepass")
+            words = [lowered[a:b] for a, b in zip(starts, ends)]
             n = min(SAMPLE_RUNS, -(-len(words) // RUN_WORDS))
             for s in np.linspace(0, max(0, len(words) - RUN_WORDS), n).astype(int):
                 rows.append((" ".join(words[s : s + RUN_WORDS]), lang))

@@ -7,6 +7,7 @@ import string
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 
@@ -104,6 +105,21 @@ def test_language_of_odd_rows(spark, odd, empty):
     assert {r.lang_pred for r in nothing.collect()} == {"und"}
 
 
+def test_fit_on_letter_like_numbers():
+    """½ ² ① Ⅷ are no letters: labels are of the same words as features, also in the sample."""
+    texts = {"en": "add 2½ cups of flour to 10² grams", "de": "und a½b Ludwig Ⅷ aß ① İd Äpfel ²"}
+    rows = pd.DataFrame({"text": list(texts.values()), "lang": list(texts)})
+    sample = pd.concat(crf._runs_of(iter([rows])))
+    assert list(sample["words"]) == [
+        "add cups of flour to grams", "und a b ludwig aß İd äpfel",
+    ]
+    model = crf.fit([(w, lang) for lang, w in texts.items()] * 40)
+    for lang, text in texts.items():
+        assert {w[2] for w in model.label_words(text)} == {lang}
+    more = " ½ ① Ⅷ" * 9
+    assert crf.fit([(f"the and{more}", "en"), (f"der a½b{more}", "de")] * 9).languages == ["de", "en"]
+
+
 BASE = [
     ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
                           r"""([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12),
