@@ -80,8 +80,10 @@ def op6_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in shards of at most 1 MiB of text."""
-    return sharding.shard_rows(read(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+    """All documents written in shards of at most 1 MiB of text, read back."""
+    path, docs = new_shared_path(spark, "shards"), read(spark, sf_dir, "documents")
+    sharding.write_shards(docs, path)
+    return sharding.read_shards(spark, path, docs.schema).withColumnRenamed("key", "doc_id")
 
 
 QUERIES = {

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from keepsake.llm.tables import stored
+from keepsake.llm.tables import fresh, stored
 
 BITS = 52
 MAX_BYTES = 1 << 20
@@ -139,5 +140,26 @@ def write_shards(docs: DataFrame, path: str, max_bytes: int = MAX_BYTES) -> None
     )
     entries = directory(rows.select("hash", "n_bytes"), max_bytes)
     name = F.concat_ws("-", F.lpad(F.bin("prefix"), F.col("depth"), F.lit("0")), "depth", "part")
-    placed = assign(rows, entries, max_bytes).select("row.*", name.alias("_shard"))
-    placed.repartition("_shard").write.partitionBy("_shard").parquet(path)
+    shard = fresh(docs, "_shard")
+    placed = assign(rows, entries, max_bytes).select("row.*", name.alias(shard))
+    placed.repartition(shard).write.partitionBy(shard).parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of shard_rows, from files of write_shards alone; schema is that of its `docs`.
+
+    Depth, prefix and part are those of the folder in which a row lies, shard_bytes is the sum over
+    all rows found there.
+    """
+    shard = fresh(spark.createDataFrame([], schema), "_shard")
+    files = spark.read.schema(StructType([*schema, StructField(shard, StringType())])).parquet(path)
+    rows = files.select(
+        files["doc_id"].alias("key"), n_bytes(files["text"]).alias("n_bytes"), F.col(shard).alias("shard")
+    )
+    sums = rows.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"))
+    bits, depth, part = (F.split_part("shard", F.lit("-"), F.lit(i)) for i in (1, 2, 3))
+    return rows.join(sums, "shard").select(
+        "key", "n_bytes", depth.cast("int").alias("depth"),
+        F.coalesce(F.conv(bits, 2, 10).cast("long"), F.lit(0).cast("long")).alias("prefix"),
+        part.cast("long").alias("part"), "shard_bytes",
+    )

@@ -8,8 +8,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from keepsake.llm import chat, minhash, mixing, polytope, sharding, tiling
+from keepsake.llm import chat, minhash, mixing, polytope, queries, sharding, tiling
 from keepsake.llm.components import components
+from keepsake.llm.tables import read
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -331,3 +332,25 @@ def test_shards(spark, limit, tmp_path):
         back = spark.read.parquet(path)
         assert back.drop("_shard").columns == docs.columns and back.count() == len(rows)
         assert back.select("_shard").distinct().count() == len(held)
+
+
+@pytest.mark.parametrize("limit", [3000, 10**6])
+def test_shards_read_back(spark, limit, tmp_path):
+    rows = [(i, "ä" * (i % 50), "x") for i in range(2000)] + [(5000, None, "x"), (None, "x" * 3000, None)]
+    docs = spark.createDataFrame(rows + [(7000, "same row here", "y")] * 40,
+                                 "doc_id long, text string, _Shard string")
+    path = str(tmp_path / "shards")
+    sharding.write_shards(docs, path, limit)
+    found, want = sharding.read_shards(spark, path, docs.schema), sharding.shard_rows(docs, limit)
+    assert found.dtypes == want.dtypes
+    assert Counter(found.collect()) == Counter(want.collect())
+    nothing = str(tmp_path / "nothing")
+    sharding.write_shards(docs.limit(0), nothing, limit)
+    assert sharding.read_shards(spark, nothing, docs.schema).count() == 0
+
+
+def test_registered_shards_come_from_written_files(spark, sf_dir):
+    found = queries.op10_extendible_shards(spark, sf_dir)
+    assert all("/shards-" in f for f in found.inputFiles()) and found.inputFiles()
+    want = sharding.shard_rows(read(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+    assert found.columns == want.columns and Counter(found.collect()) == Counter(want.collect())
