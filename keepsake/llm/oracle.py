@@ -49,7 +49,27 @@ SELECT doc_id, n_bytes, depth, prefix, 0::BIGINT AS part, shard_bytes FROM f
 QUALIFY row_number() OVER (PARTITION BY hash, doc_id, n_bytes, copy ORDER BY depth) = 1
 """
 
+OP13 = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (
+  SELECT r, s, md5(array_to_string(words[s : s + 34], ' ')) AS h
+  FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS s FROM t)),
+m AS (SELECT r, s FROM w QUALIFY count(*) OVER (PARTITION BY h) > 1),
+k AS (
+  SELECT r, word, max(s) OVER (PARTITION BY r ORDER BY i
+                               ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NULL AS kept, i
+  FROM (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM t)
+  LEFT JOIN (SELECT r, s, s AS i FROM m) USING (r, i))
+SELECT t.doc_id, len(t.words)::BIGINT AS n_words,
+       (len(t.words) - count(word) FILTER (WHERE kept))::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE kept), '')) AS kept_sha256
+FROM t LEFT JOIN k USING (r) GROUP BY t.r, t.doc_id, t.words
+"""
+
 ORACLE = {
     "op1_source_mix": OP1,
     "op10_extendible_shards": OP10,
+    "op13_repeated_passages": OP13,
 }

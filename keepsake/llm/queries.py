@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import chat, crf, minhash, mixing, polytope, quality, secret_scan, sharding, tiling, tokens
+from keepsake.llm import chat, crf, minhash, mixing, passages, polytope, quality, secret_scan
+from keepsake.llm import sharding, tiling, tokens
 from keepsake.llm.tables import read, stored
 from keepsake.session import new_shared_path
 
@@ -86,6 +87,12 @@ def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.read_shards(spark, path, docs.schema).withColumnRenamed("key", "doc_id")
 
 
+def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of passages of 35 words that occur elsewhere, too."""
+    found = passages.repeated_words(read(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_quality_classifier": op2_quality_classifier,
@@ -97,4 +104,5 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op6_vector_links": op6_vector_links,
     "op10_extendible_shards": op10_extendible_shards,
+    "op13_repeated_passages": op13_repeated_passages,
 }

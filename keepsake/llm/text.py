@@ -97,10 +97,12 @@ def lower_ascii(codes: np.ndarray) -> np.ndarray:
     return np.where((codes >= 65) & (codes <= 90), codes + np.uint32(32), codes)
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts, A-Z lower-cased, and where each text's words begin."""
+def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, A-Z lower-cased if wanted, and where each text's words
+    begin."""
     codes, bounds = code_points(texts)
-    codes = lower_ascii(codes)
+    if lower:
+        codes = lower_ascii(codes)
     starts, ends = spans(~is_break(codes))
     return Rolling(codes).hashes(starts, ends), np.searchsorted(starts, bounds)
 
