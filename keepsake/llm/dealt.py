@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 
 
-def destinations(numbers: float, each: int = 1 << 21) -> int:
+def destinations(numbers: float, each: int = 1 << 19) -> int:
     """So many destinations that one gets about `each` numbers, whatever their total."""
     return max(1, -(-int(numbers) // each))
 

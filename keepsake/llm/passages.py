@@ -72,6 +72,7 @@ def judge(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         raise ValueError(f"windows must have {PERIOD} words or more")
     texts = (
         docs.select(F.unhex(F.md5(_text(docs))).alias("same"), _text(docs).alias("text"))
+        .where("same IS NOT NULL")  # as a join says; so all three uses are one exchange
         .groupBy("same")
         .agg(F.max("text").alias("text"))
     )
@@ -96,10 +97,10 @@ def _text(docs: DataFrame):
 
 
 def _repeats(sent: DataFrame) -> DataFrame:
-    """(same, places) from entries: all of a text's places whose value occurs twice or more."""
-    schema = "same binary, places binary"
-    found = sent.groupBy("dest").applyInPandas(_judged, schema)
-    return found.groupBy("same").agg(F.collect_list("places").alias("places"))
+    """(same, places) from entries: all of a text's places whose value occurs twice or more, as
+    runs of them, the first in the upper 32 bits and the one after the last in the lower."""
+    found = sent.groupBy("dest").applyInPandas(_judged, "same binary, place long")
+    return found.groupBy("same").agg(F.collect_list("place").alias("places"))
 
 
 def _anchors(anchor: int, n: int):
@@ -124,6 +125,8 @@ def _anchors(anchor: int, n: int):
 
 
 def _windows(window: int, n: int):
+    anchor = window - PERIOD + 1
+
     def find(batches):
         for batch in batches:
             texts, keys = batch["text"].tolist(), batch["same"].to_numpy()
@@ -131,14 +134,21 @@ def _windows(window: int, n: int):
                 words, bounds = tx.word_hashes(texts[a:b], lower=False)
                 place, room = _places(bounds)
                 # A window that holds an anchor from its first PERIOD places on.
-                anchors = _own_places(batch["places"].iloc[a:b], bounds)
-                first = np.maximum(anchors - (PERIOD - 1), anchors - place[anchors])
-                held = _cover(first, anchors + 1, len(words)) & (room >= window)
+                first, after = _own_places(batch["places"].iloc[a:b], bounds)
+                first = np.maximum(first - (PERIOD - 1), first - place[first])
+                held = _cover(first, after, len(words)) & (room >= window)
                 at = np.flatnonzero(held)
-                one = tx.Rolling(words).hashes(at, at + window)
+                if not len(at):
+                    continue
+                roll = tx.Rolling(words)
+                one = roll.hashes(at, at + window)
+                # Dealt by the least hash of the anchor-sized runs inside, which neighbours share:
+                # windows of one passage travel, and return, as runs of places.
+                least = np.lib.stride_tricks.sliding_window_view(roll.grams(anchor), PERIOD)
+                by = np.concatenate([least[part].min(1) for part in np.array_split(at, 64)])
                 two = tx.Rolling(tx.mix(words ^ _SECOND)).hashes(at, at + window)
                 more = (two & np.uint64(0xFFFFFFFF)).astype("<u4")
-                yield from _sent(two >> np.uint64(32), one, more, at, bounds, place, keys[a:b], n)
+                yield from _sent(by, one, more, at, bounds, place, keys[a:b], n)
 
     return find
 
@@ -151,8 +161,8 @@ def _remove(window: int):
                 words = _WORD.findall(text)
                 spans = []
                 if places is not None:
-                    starts = np.unique(dealt.joined(pd.Series(list(places)), "<u4")).astype(np.int64)
-                    covered = _cover(starts, starts + window, len(words))
+                    first, after = _runs(places)
+                    covered = _cover(first, after + window - 1, len(words))
                     spans = list(zip(*(x.tolist() for x in tx.spans(covered))))
                 kept, end = [], 0
                 for first, after in spans:
@@ -175,13 +185,17 @@ def _places(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return every - np.repeat(bounds[:-1], size), np.repeat(bounds[1:], size) - every
 
 
-def _own_places(lists: pd.Series, bounds: np.ndarray) -> np.ndarray:
-    """Lists of packed places within texts as places within the run."""
-    found = [
-        dealt.joined(pd.Series(list(places)), "<u4").astype(np.int64) + bounds[i]
-        for i, places in enumerate(lists)
-    ]
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+def _runs(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Packed runs of places: the first of each, and the one after the last."""
+    return places >> 32, places & 0xFFFFFFFF
+
+
+def _own_places(lists: pd.Series, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of places within texts as runs within all of them."""
+    sizes = [len(places) for places in lists]
+    first, after = _runs(np.concatenate(lists.tolist()))
+    begin = np.repeat(bounds[:-1], sizes)
+    return first + begin, after + begin
 
 
 def _cover(starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
@@ -228,15 +242,17 @@ def _judged(entries: pd.DataFrame) -> pd.DataFrame:
     counted = np.flatnonzero(what != _KNOWN)
     hit = what != _OPEN
     hit[counted] |= dealt.how_often(more[counted], mark[counted]) > 1
-    texts = dealt.joined(entries["texts"], "S16")
-    owner = np.repeat(np.arange(len(texts)), dealt.joined(entries["sizes"], "<u4"))
-    owner, at = owner[hit], at[hit]
-    who, first = np.unique(owner, return_index=True)
-    cuts = [*first.tolist(), len(owner)]
+    sizes = dealt.joined(entries["sizes"], "<u4")
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    owner, at = owner[hit], at[hit].astype(np.int64)
+    begins = np.ones(len(at), bool)
+    begins[1:] = (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1)
+    first = np.flatnonzero(begins)
+    last = np.append(first[1:], len(at))[: len(first)] - 1
     raw_texts = b"".join(entries["texts"])
     return pd.DataFrame(
         {
-            "same": [raw_texts[16 * i : 16 * i + 16] for i in who.tolist()],
-            "places": [at[a:b].tobytes() for a, b in zip(cuts, cuts[1:])],
+            "same": [raw_texts[16 * i : 16 * i + 16] for i in owner[first].tolist()],
+            "place": (at[first] << 32) + at[last] + 1,
         }
     )
