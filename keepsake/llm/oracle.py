@@ -49,6 +49,32 @@ SELECT doc_id, n_bytes, depth, prefix, 0::BIGINT AS part, shard_bytes FROM f
 QUALIFY row_number() OVER (PARTITION BY hash, doc_id, n_bytes, copy ORDER BY depth) = 1
 """
 
+OP12 = r"""
+WITH x AS (
+  SELECT 0 AS kind, row_number() OVER () AS r, doc_id AS id, text FROM documents
+  UNION ALL SELECT 1, row_number() OVER (), item_id, text FROM benchmark),
+d AS (
+  SELECT kind, r, id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM x),
+c AS (SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d
+      WHERE kind = 0 AND len(terms) > 0),
+t AS (SELECT kind, r, id, n, term, count(*)::BIGINT AS tf
+      FROM (SELECT kind, r, id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM d)
+      GROUP BY ALL),
+f AS (SELECT term, count(*)::BIGINT AS df FROM t WHERE kind = 0 GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w FROM f, c),
+s AS (
+  SELECT q.r AS q, q.id AS item_id, t.r, t.id AS doc_id,
+         sum(w * ((1000000000 * t.tf) //
+                  (1000 * t.tf + 8 * (100 - 90 + ((90 * t.n * n_docs) // n_terms)))))::BIGINT AS score
+  FROM t JOIN t AS q ON t.kind = 0 AND q.kind = 1 AND q.term = t.term
+  JOIN w ON w.term = t.term CROSS JOIN c GROUP BY ALL),
+p AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER
+             AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM p WHERE rank <= 10
+"""
+
 OP13 = r"""
 WITH t AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -71,5 +97,6 @@ FROM t LEFT JOIN k USING (r) GROUP BY t.r, t.doc_id, t.words
 ORACLE = {
     "op1_source_mix": OP1,
     "op10_extendible_shards": OP10,
+    "op12_lexical_search": OP12,
     "op13_repeated_passages": OP13,
 }

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import chat, crf, minhash, mixing, passages, polytope, quality, secret_scan
-from keepsake.llm import sharding, tiling, tokens
+from keepsake.llm import chat, crf, lexical, minhash, mixing, passages, polytope
+from keepsake.llm import quality, secret_scan, sharding, tiling, tokens
 from keepsake.llm.tables import read, stored
 from keepsake.session import new_shared_path
 
@@ -87,6 +87,14 @@ def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.read_shards(spark, path, docs.schema).withColumnRenamed("key", "doc_id")
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all documents for every benchmark item."""
+    docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return lexical.search(docs, benchmark).select(
+        F.col("item").alias("item_id"), "rank", F.col("key").alias("doc_id"), "score"
+    )
+
+
 def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the words of passages of 35 words that occur elsewhere, too."""
     found = passages.repeated_words(read(spark, sf_dir, "documents"))
@@ -104,5 +112,6 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op6_vector_links": op6_vector_links,
     "op10_extendible_shards": op10_extendible_shards,
+    "op12_lexical_search": op12_lexical_search,
     "op13_repeated_passages": op13_repeated_passages,
 }
