@@ -49,6 +49,45 @@ SELECT doc_id, n_bytes, depth, prefix, 0::BIGINT AS part, shard_bytes FROM f
 QUALIFY row_number() OVER (PARTITION BY hash, doc_id, n_bytes, copy ORDER BY depth) = 1
 """
 
+OP11 = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+           AS text FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+n AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, array_to_string(words[i : i + size - 1], ' ') AS phrase, size
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
+        FROM w, (SELECT unnest([1, 2, 3, 4]) AS size))),
+f AS (SELECT lang, phrase, size, count(*)::BIGINT AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (
+  SELECT lang, phrase, a, k, array_to_string(words[1 : k], ' ') AS first,
+         array_to_string(words[k + 1 :], ' ') AS rest
+  FROM (SELECT lang, phrase, a, string_split(phrase, ' ') AS words, unnest(range(1, size)) AS k
+        FROM f WHERE size > 1)),
+s AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r,
+         ((2000000::HUGEINT * c.a) // (x.a::HUGEINT + y.a))::BIGINT AS score
+  FROM c JOIN f AS x ON x.lang = c.lang AND x.phrase = c.first
+  JOIN f AS y ON y.lang = c.lang AND y.phrase = c.rest
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase
+    ORDER BY (2000000::HUGEINT * c.a) // (x.a::HUGEINT + y.a), k) = 1),
+i AS (
+  SELECT lang, array_to_string(words[i : i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, a, words, m, unnest(range(1, size - m + 2)) AS i
+        FROM (SELECT *, string_split(phrase, ' ') AS words, unnest(range(2, size)) AS m
+              FROM f WHERE size > 2))
+  GROUP BY ALL),
+o AS (
+  SELECT s.* FROM s LEFT JOIN i USING (lang, phrase)
+  WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM o JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
 OP12 = r"""
 WITH x AS (
   SELECT 0 AS kind, row_number() OVER () AS r, doc_id AS id, text FROM documents
@@ -97,6 +136,7 @@ FROM t LEFT JOIN k USING (r) GROUP BY t.r, t.doc_id, t.words
 ORACLE = {
     "op1_source_mix": OP1,
     "op10_extendible_shards": OP10,
+    "op11_phrase_collocations": OP11,
     "op12_lexical_search": OP12,
     "op13_repeated_passages": OP13,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepsake.llm import chat, crf, lexical, minhash, mixing, passages, polytope
+from keepsake.llm import chat, crf, lexical, minhash, mixing, passages, phrases, polytope
 from keepsake.llm import quality, secret_scan, sharding, tiling, tokens
 from keepsake.llm.tables import read, stored
 from keepsake.session import new_shared_path
@@ -87,6 +87,11 @@ def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.read_shards(spark, path, docs.schema).withColumnRenamed("key", "doc_id")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best phrases of all documents."""
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best of all documents for every benchmark item."""
     docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
@@ -112,6 +117,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op6_vector_links": op6_vector_links,
     "op10_extendible_shards": op10_extendible_shards,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_lexical_search": op12_lexical_search,
     "op13_repeated_passages": op13_repeated_passages,
 }
