@@ -1,5 +1,6 @@
 """Quality, language, secrets and tokens: held-out accuracy, brute force and exact round trips."""
 
+import functools
 import hashlib
 import random
 import re
@@ -10,6 +11,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from keepsake.llm import crf, quality, secret_scan, tokens
 from keepsake.llm.tables import read
@@ -206,6 +208,29 @@ def test_scan_finds_keys_of_letters_alone(spark):
     assert {r.key: r.spans for r in rows} == {i: f"token:2:{2 + len(k)}" for i, k in enumerate(keys)}
 
 
+@functools.cache
+def _fresh():
+    return Tokenizer.from_file(VOCABULARY)
+
+
+def plain(text):
+    """The contract's call, on a tokenizer that nothing has touched."""
+    ids = _fresh().encode(text, add_special_tokens=False).ids
+    return np.array(ids, "<u4").tobytes()
+
+
+def test_added_tokens_keep_their_ids():
+    got = np.frombuffer(tokens.Encoder(VOCABULARY).encode("a <|endoftext|> b"), "<u4").tolist()
+    assert got == [64, 220, 50256, 275]
+
+
+def test_text_without_blanks_is_not_remembered():
+    coder = tokens.Encoder(VOCABULARY)
+    text = "".join(map(chr, np.random.default_rng(2).integers(0x4E00, 0x9FFF, 1_000_000)))
+    assert coder.encode(text) == plain(text)
+    assert not len(coder.known.marks) and not len(coder.recent.marks)
+
+
 def test_chunks_give_the_tokenizers_ids():
     coder = tokens.Encoder(VOCABULARY)
     rng = np.random.default_rng(3)
@@ -213,19 +238,26 @@ def test_chunks_give_the_tokenizers_ids():
              "12,3", "<|endoftext|>", "'", "Ĳ", "你好", "\x1c", "\x85", "_", "😀", "word"]
     for _ in range(3000):
         text = "".join(rng.choice(parts, rng.integers(0, 9)))
-        assert coder.encode(text) == coder.plain(text), repr(text)
+        assert coder.encode(text) == plain(text), repr(text)
 
 
 def test_random_chunks_give_the_tokenizers_ids(monkeypatch):
-    """Also while a task forgets chunks: it has room for forty."""
-    monkeypatch.setattr(tokens, "_REMEMBERED", 40)
+    """Also while a task forgets pieces: it has room for forty."""
+    monkeypatch.setattr(tokens, "_PIECES", 40)
     coder = tokens.Encoder(VOCABULARY)
     signs = list("ab éßÖÿɏɐ×÷ªµº²½19'\"st\n\t\r.,!#$-_`{}~|\\^@<> 　\u0301日😀") + ["'re", " the", "\xad"]
     draw = np.random.default_rng(5)
     for _ in range(3000):
         text = "".join(signs[i] for i in draw.integers(0, len(signs), draw.integers(0, 15)))
-        ids = coder.tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(coder.encode(text), "<u4").tolist() == ids, text
+        assert coder.encode(text) == plain(text), text
+
+
+def test_language_with_repeated_ids_does_not_crowd_out_others(spark):
+    rows = [(1, f"alpha beta gamma w{i}", "aa") for i in range(600)]
+    rows += [(1000 + i, f"uno dos tres q{i}", "zz") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = crf.identify(docs).groupBy("lang_pred").count().collect()
+    assert dict(map(tuple, found)) == {"aa": 600, "zz": 60}
 
 
 def test_wavelet_matrix_against_arrays():
@@ -243,9 +275,8 @@ def test_token_files_round_trip(spark, odd, empty, tmp_path):
     path = str(tmp_path / "t")
     tokens.write_tokens(odd, path, VOCABULARY, files=3, block_tokens=50)
     rows = tokens.read_documents(spark, path).collect()
-    coder = tokens.Encoder(VOCABULARY)
     want = sorted(
-        (r[0] is not None, r[0] or 0, zlib.crc32(coder.plain(r[1] or "") + b"\0\0\0\0")) for r in ODD
+        (r[0] is not None, r[0] or 0, zlib.crc32(plain(r[1] or "") + b"\0\0\0\0")) for r in ODD
     )
     assert sorted((r[0] is not None, r[0] or 0, r[3]) for r in rows) == want
     rows.sort(key=lambda r: r.start)
