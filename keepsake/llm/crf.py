@@ -26,10 +26,9 @@ from keepsake.llm.quality import held_out
 
 BUCKETS = 1 << 16
 UNDETERMINED = "und"
-# The sample that a model is fitted on: so many texts of each language, so many runs of words
-# from each text, evenly spread over it.
+# The sample that a model is fitted on: so many rows of each language, with their whole texts, cut
+# into runs of words.
 SAMPLE_TEXTS = 200
-SAMPLE_RUNS = 24
 RUN_WORDS = 8
 # Training sequences join so many runs, of any languages, so that transitions see switches.
 _RUNS_IN_SEQUENCE = 3
@@ -268,34 +267,31 @@ def _runs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             codes, starts, ends, _ = _words([text])
             lowered = codes.tobytes().decode("utf-32-le", "surrogatepass")
             words = [lowered[a:b] for a, b in zip(starts, ends)]
-            n = min(SAMPLE_RUNS, -(-len(words) // RUN_WORDS))
-            for s in np.linspace(0, max(0, len(words) - RUN_WORDS), n).astype(int):
+            for s in range(0, len(words), RUN_WORDS):
                 rows.append((" ".join(words[s : s + RUN_WORDS]), lang))
         yield pd.DataFrame(rows, columns=["words", "lang"])
 
 
 def fit_sample(docs: DataFrame, texts: int = SAMPLE_TEXTS) -> LanguageField:
-    """Fit on the `texts` rows of each language that come first by a hash of their id.
+    """Fit on the whole texts of the `texts` rows of each language that come first by hashes of their
+    ids and texts.
 
-    Rows set aside (crc32 of the id modulo 3 is 1) and rows without a language or id are not used. Only
-    ids are ranked, and Spark drops ids beyond the limit before it shuffles them; the chosen ids, a
-    bounded number for each language, pick the texts, of which only a bounded number of runs of
-    words reaches the driver.
+    Rows set aside (crc32 of the id modulo 3 is 1) and rows without a language or id are not used.
+    Rows with one language, id and text count once; an id's other rows are rows of their own. Only
+    hashes are ranked, and Spark drops those beyond the limit before it shuffles them; the chosen
+    ones, a bounded number for each language, are sent to all tasks and pick the texts there.
     """
     rows = docs.select(
-        docs["doc_id"].alias("key"), docs["lang"].alias("lang"), docs["text"].alias("text")
+        docs["doc_id"].cast("string").alias("key"), docs["lang"].alias("lang"),
+        F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"),
     ).where(
         F.col("lang").isNotNull() & F.col("key").isNotNull() & ~held_out(F.col("key"), 3, 1)
-    )
-    place = F.xxhash64(F.col("key").cast("string"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(place, "key"))
-    chosen = (
-        rows.select("key", "lang", rank.alias("rank")).where(F.col("rank") <= texts).drop("rank")
-    ).distinct()
-    sample = rows.join(chosen, ["key", "lang"])
-    found = sample.mapInPandas(_runs_of, "words string, lang string")
-    most = chosen.select("lang").distinct().count() * texts * SAMPLE_RUNS
-    runs = found.orderBy("lang", "words").limit(max(most, 1)).toPandas()
+    ).withColumns({"place": F.xxhash64("key"), "mark": F.xxhash64("text")})
+    by = ["lang", "place", "mark", "key"]
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*by[1:]))
+    chosen = rows.select(by).distinct().select(*by, rank.alias("rank")).where(F.col("rank") <= texts)
+    sample = rows.join(F.broadcast(chosen.drop("rank")), by).groupBy(by).agg(F.max("text").alias("text"))
+    runs = sample.mapInPandas(_runs_of, "words string, lang string").orderBy("lang", "words").toPandas()
     return fit(list(zip(runs["words"], runs["lang"])))
 
 
@@ -314,7 +310,9 @@ def identify(docs: DataFrame) -> DataFrame:
     """(key, held_out, lang_pred, score) for every row; key is its doc_id.
 
     The prediction looks at the whole text alone. Without any row to learn from, and for texts that
-    are null, empty or without letters, it is `und` with score 0. Repeated rows are scored alike.
+    are null, empty or without letters, it is `und` with score 0. Repeated rows are scored alike and
+    fitted on once (see fit_sample). A text is worked on as a whole, with about 50 bytes of memory
+    for each of its characters; so is each text of the sample, on the driver.
     """
     model = fit_sample(docs)
     return docs.select(
