@@ -4,7 +4,9 @@ Texts are dealt to a fixed number of shards by a hash. A phrase with the wanted
 has, in one shard at least, that support times the shard's share of the texts. So each shard is
 mined completely at its lowered support, level by level: first its words and pairs of words, then
 longer phrases all of whose pairs are frequent there. The union of what is frequent somewhere holds
-every frequent phrase; a last pass counts its members in all texts, exactly.
+every frequent phrase; the next pass counts its members in all texts, exactly. Phrases travel as
+64-bit hashes with their counts. Only those that turn out to be frequent are spelled, each by the
+texts of one home, a small part of all texts that has it.
 
 A shard is mined by many tasks: each sends the counts of its own texts to destinations by hash, and
 these add them up. What comes back to the texts is a bitmap of fixed size, of frequent hashes:
@@ -14,11 +16,9 @@ the bitmap fills up, less is skipped, and the counts stay exact.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -28,7 +28,8 @@ from keepsake.llm.tables import stored
 
 LONGEST = 4
 SHARDS = 8
-_RUN = 1 << 22
+_RUN = 1 << 20
+_HELD = 1 << 19  # counts that a task adds up before it sends them
 _BITS = 27
 _SLICES = 8  # the bitmap is put together in 2^_SLICES parts
 _BASES = np.array(
@@ -63,7 +64,10 @@ def collocations(
     rows = docs.select(
         F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"),
-    ).withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int"))
+    ).withColumns(
+        {"shard": F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int"),
+         "home": F.pmod(F.xxhash64("text", F.lit(1)), F.lit(256)).cast("int")}
+    )
     size = {r["shard"]: r["n"] or 0 for r in
             rows.groupBy("shard").agg(F.sum(F.length("text")).alias("n")).collect()}
     total = sum(size.values())
@@ -76,8 +80,10 @@ def collocations(
     longer = stored(_mined(rows.mapInPandas(_long(n, local), _SENT), lowered), "phrases")
     every = spark.sparkContext.broadcast(_bitmap(found.union(longer).where("overall")))
     counts = rows.mapInPandas(_candidates(n, every), _COUNTED)
-    phrases = counts.groupBy("dest").applyInPandas(_frequent(support), _PHRASE)
-    return _ranked(stored(phrases, "phrases"), absorbed, top)
+    frequent = stored(counts.groupBy("dest").applyInPandas(_frequent(support), _FREQUENT), "phrases")
+    homes = frequent.where("size > 1").mapInPandas(_homes, "part int, places binary")
+    named = rows.mapInPandas(_spelled(spark.sparkContext.broadcast(_bitmap(homes))), _SPELLED)
+    return _ranked(frequent, stored(named, "phrases"), absorbed, top)
 
 
 class _Words:
@@ -96,6 +102,16 @@ class _Words:
         self.text = np.searchsorted(bounds, self.starts, side="right") - 1
         self.lang = langs[self.text] if len(langs) else np.zeros(0, np.uint64)
 
+    def phrase(self, at: np.ndarray, size: int) -> list[str]:
+        """Phrases of `size` words; words may be apart by any blanks and tabs."""
+        chars = self.codes.tobytes()
+
+        def word(k: int) -> list[str]:
+            cuts = zip((4 * self.starts[at + k]).tolist(), (4 * self.ends[at + k]).tolist())
+            return [chars[a:b].decode("utf-32-le", "surrogatepass") for a, b in cuts]
+
+        return list(map(" ".join, zip(*[word(k) for k in range(size)])))
+
     def phrases(self):
         """For 1, 2... words: where phrases start, and a hash of language and words at every word
         that has enough words after it in the texts."""
@@ -219,120 +235,146 @@ def _has(bits: np.ndarray, marks: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] << (at & 7).astype(np.uint8)) & 0x80 != 0
 
 
-# Of one language and number of words: counts, and the words' hashes; of single words, also
-# themselves. With 0 words: how many words there are.
-_COUNTED = "dest int, lang string, size int, mark binary, times binary, words binary, spelled string"
+# How often phrases occur in some texts, their numbers of words, and a home each: a part of the
+# texts that has them. With 0 words: how many words a language has.
+_COUNTED = "dest int, mark binary, times binary, size binary, home binary"
 
 
 def _candidates(n: int, every):
+    def send(parts):
+        size, mark, times, home = (np.concatenate(x) for x in zip(*parts))
+        order, begins = dealt.same(size, mark)
+        first = np.flatnonzero(begins)
+        at = order[first]
+        arrays = {"mark": mark[at], "times": np.add.reduceat(times[order], first).astype("<i8"),
+                  "size": size[at], "home": home[at]}
+        return dealt.deal((mark[at] % np.uint64(n)).astype(np.int64), arrays)
+
     def count(batches):
-        bits = every.value
+        bits, parts = every.value, []
         for batch in batches:
-            for _, words, names, which in _runs(batch):
-                own = which[words.text]
+            for cut, words, names, which in _runs(batch):
+                home = batch["home"].to_numpy(np.uint8)[cut]
                 for size, inside, value in words.phrases():
                     at = np.flatnonzero(inside & _has(bits, value & ~_LOW))
-                    # A hash is of one language, so its first place tells which.
                     mark, first, times = np.unique(value[at], return_index=True, return_counts=True)
-                    first = at[first]
-                    for k in np.unique(own[first]):
-                        yield _packed(words, names[k], size, own[first] == k, mark, first, times, n)
-                for k, times in zip(*np.unique(own, return_counts=True)):
-                    mark = _lang_hash([names[k]])
-                    yield pd.DataFrame(
-                        [[int(mark[0] % np.uint64(n)), names[k], 0, mark.tobytes(),
-                          np.array([times], "<i8").tobytes(), b"", ""]],
-                        columns=_names(_COUNTED),
-                    )
+                    own = home[words.text[at[first]]]
+                    parts.append((np.full(len(mark), size, "<u1"), mark, times, own))
+                langs, times = np.unique(which[words.text], return_counts=True)
+                none = np.zeros(len(langs), "<u1")
+                parts.append((none, _lang_hash(names[langs]), times, none))
+                if sum(len(part[0]) for part in parts) >= _HELD:
+                    yield send(parts)
+                    parts = []
+        if parts:
+            yield send(parts)
 
     return count
 
 
-def _packed(words: _Words, lang: str, size: int, mine, mark, first, times, n: int) -> pd.DataFrame:
-    mark, first, times = mark[mine], first[mine], times[mine]
-    tuples = words.words[first[:, None] + np.arange(size)]
-    dest = (mark % np.uint64(n)).astype(np.int64)
-    arrays = {"mark": mark, "times": times.astype("<i8"), "words": tuples, "at": first}
-    packed = dealt.deal(dest, arrays)
-    spelled = [""] * len(packed)
-    if size == 1:
-        chars = words.codes.tobytes()
-        for i, at in enumerate(packed["at"]):
-            at = np.frombuffer(at, np.int64)
-            ends = zip(words.starts[at].tolist(), words.ends[at].tolist())
-            spelled[i] = b" \0\0\0".join([chars[4 * a : 4 * b] for a, b in ends]).decode(
-                "utf-32-le", "surrogatepass"
-            )
-    packed = packed.assign(lang=lang, size=size, spelled=spelled)
-    return packed[_names(_COUNTED)]
-
-
-def _names(ddl: str) -> list[str]:
-    return [part.split()[0] for part in ddl.split(", ")]
-
-
-# A phrase's parts by their hashes: up to and from each cut; shorter phrases inside; words.
-_PHRASE = (
-    "lang string, size int, mark long, a long, spelled string, firsts array<long>, "
-    "rests array<long>, inner array<long>, words array<long>"
-)
+_FREQUENT = "mark long, size int, a long, home int"
 
 
 def _frequent(support: int):
     def add_up(entries: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame(columns=_names(_PHRASE))]
-        for (lang, size), rows in entries.groupby(["lang", "size"]):
-            mark, times = dealt.joined(rows["mark"], "<u8"), dealt.joined(rows["times"], "<i8")
-            words = dealt.joined(rows["words"], "<u8").reshape(len(mark), size)
-            order, begins = dealt.same(*words.T, mark)
-            first = np.flatnonzero(begins)
-            a = np.add.reduceat(times[order], first)
-            keep = a >= support if size else a > 0
-            at, a = order[first[keep]], a[keep]
-            if not len(at):
-                continue
-            found = {"lang": lang, "size": size, "mark": mark[at].view(np.int64), "a": a}
-            found["spelled"] = ""
-            if size == 1:
-                spelled = " ".join(rows["spelled"]).split(" ")
-                found["spelled"] = [spelled[i] for i in at.tolist()]
-            salt = _lang_hash([lang])
-            for name, spans in _spans(size).items():
-                parts = [_span_hash(words[at, i:j], salt) for i, j in spans]
-                parts = np.array(parts, np.uint64).reshape(len(spans), len(at))
-                found[name] = list(parts.view(np.int64).T)
-            out.append(pd.DataFrame(found)[_names(_PHRASE)])
-        return pd.concat(out)
+        size, mark = dealt.joined(entries["size"], "u1"), dealt.joined(entries["mark"], "<u8")
+        order, begins = dealt.same(size, mark)
+        first = np.flatnonzero(begins)
+        a = np.add.reduceat(dealt.joined(entries["times"], "<i8")[order], first)
+        at = order[first]
+        keep = a >= np.where(size[at] > 0, support, 1)
+        at, a = at[keep], a[keep]
+        home = dealt.joined(entries["home"], "u1")[at]
+        return pd.DataFrame(
+            {"mark": mark[at].view(np.int64), "size": size[at].astype(np.int32), "a": a,
+             "home": home.astype(np.int32)}
+        )
 
     return add_up
 
 
+def _at_home(marks: np.ndarray, home: np.ndarray) -> np.ndarray:
+    return tx.mix(marks + (home.astype(np.uint64) + np.uint64(1)) * _ODD)
+
+
+def _homes(batches):
+    for batch in batches:
+        marks = batch["mark"].to_numpy(np.int64).view(np.uint64)
+        places = np.unique(_place(_at_home(marks, batch["home"].to_numpy())))
+        packed = dealt.deal(places >> (_BITS - _SLICES), {"places": places.astype("<u4")})
+        yield packed.rename(columns={"dest": "part"})
+
+
+# A frequent phrase's words, and the hashes of its parts: up to and from each cut, and shorter
+# phrases inside.
+_SPELLED = (
+    "mark long, lang string, lang_mark long, phrase string, firsts array<long>, "
+    "rests array<long>, inner array<long>"
+)
+
+
+def _spelled(frequent):
+    """Frequent phrases as found in their homes, some more than once; chance hits among them."""
+
+    def spell(batches):
+        bits = frequent.value
+        for batch in batches:
+            for cut, words, names, which in _runs(batch):
+                home = batch["home"].to_numpy(np.uint8)[cut]
+                for size, inside, value in words.phrases():
+                    if size == 1:
+                        continue
+                    own = home[words.text[: len(value)]]
+                    at = np.flatnonzero(inside & _has(bits, _at_home(value, own)))
+                    mark, first = np.unique(value[at], return_index=True)
+                    if not len(mark):
+                        continue
+                    first = at[first]
+                    lang = words.lang[first]
+                    found = {"mark": mark.view(np.int64), "lang": names[which[words.text[first]]],
+                             "lang_mark": lang.view(np.int64), "phrase": words.phrase(first, size)}
+                    tuples = words.words[first[:, None] + np.arange(size)]
+                    for name, spans in _spans(size).items():
+                        parts = [hash_of_words(tuples[:, i:j], lang) for i, j in spans]
+                        parts = np.array(parts, np.uint64).reshape(len(spans), len(first))
+                        found[name] = list(parts.view(np.int64).T)
+                    yield pd.DataFrame(found)
+
+    return spell
+
+
 def _spans(size: int) -> dict[str, list[tuple[int, int]]]:
     inner = [(i, i + m) for m in range(2, size) for i in range(size - m + 1)]
     return {
         "firsts": [(0, k) for k in range(1, size)], "rests": [(k, size) for k in range(1, size)],
-        "inner": inner, "words": [(i, i + 1) for i in range(size)],
+        "inner": inner,
     }
 
 
-def _span_hash(words: np.ndarray, salt: np.ndarray) -> np.ndarray:
+def hash_of_words(words: np.ndarray, lang: np.ndarray) -> np.ndarray:
     sums = (words * _BASES[: words.shape[1]]).sum(1, dtype=np.uint64)
-    return hash_of(sums, salt, words.shape[1])
+    return hash_of(sums, lang, words.shape[1])
 
 
-def _ranked(phrases: DataFrame, absorbed: int, top: int) -> DataFrame:
-    total = phrases.where("size = 0").select("lang", F.col("a").alias("n"))
-    part = phrases.where("size > 0").select("mark", F.col("a").alias("f"))
-    candidates = phrases.where("size > 1")
+def _ranked(frequent: DataFrame, named: DataFrame, absorbed: int, top: int) -> DataFrame:
+    total = frequent.where("size = 0").select(F.col("mark").alias("lang_mark"), F.col("a").alias("n"))
+    part = frequent.where("size > 0").select("mark", F.col("a").alias("f"))
+    candidates = named.dropDuplicates(["mark"]).join(
+        frequent.where("size > 1").select("mark", "a"), "mark"
+    )
     # The parts of a frequent phrase are frequent, so each finds its count.
     cuts = candidates.select(
-        "lang", "mark", "a",
+        "lang", "lang_mark", "mark", "phrase", "a",
         F.posexplode(F.arrays_zip("firsts", "rests")).alias("k", "cut"),
-    ).select("lang", "mark", "a", "k", "cut.firsts", "cut.rests")
+    ).select("lang", "lang_mark", "mark", "phrase", "a", "k", "cut.firsts", "cut.rests")
     cuts = cuts.join(part.toDF("firsts", "l"), "firsts").join(part.toDF("rests", "r"), "rests")
     whole = "decimal(38,0)"
-    score = F.expr(f"cast(cast(2000000 as decimal(7,0)) * cast(a as {whole}) div (cast(l as {whole}) + r) as long)")
-    worst = cuts.groupBy("lang", "mark", "a").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("w"))
+    score = F.expr(
+        f"cast(2000000 * cast(a as {whole}) div (cast(l as {whole}) + r) as long)"
+    ).alias("score")
+    worst = cuts.groupBy("lang", "lang_mark", "mark", "phrase", "a").agg(
+        F.min(F.struct(score, "k", "l", "r")).alias("w")
+    )
     longer = (
         candidates.select(F.explode("inner").alias("mark"), "a")
         .groupBy("mark").agg(F.max("a").alias("longer"))
@@ -340,20 +382,9 @@ def _ranked(phrases: DataFrame, absorbed: int, top: int) -> DataFrame:
     left = worst.join(longer, "mark", "left").where(
         f"longer IS NULL OR 100 * cast(longer as {whole}) < {absorbed} * cast(a as {whole})"
     )
-    scored = left.select("lang", "mark", "a", "w.l", "w.r", "w.score")
-    order = [F.desc("score"), F.desc("a")]
-    # Ties at the last place stay until the phrases are spelled.
-    by_score = Window.partitionBy("lang").orderBy(*order)
-    best = scored.withColumn("place", F.rank().over(by_score)).where(F.col("place") <= top)
-    spelled = (
-        best.select("mark").join(candidates.select("mark", "words"), "mark")
-        .select("mark", F.posexplode("words").alias("i", "word"))
-        .join(phrases.where("size = 1").select(F.col("mark").alias("word"), "spelled"), "word")
-        .groupBy("mark").agg(F.sort_array(F.collect_list(F.struct("i", "spelled"))).alias("s"))
-        .select("mark", F.concat_ws(" ", "s.spelled").alias("phrase"))
-    )
-    last = Window.partitionBy("lang").orderBy(*order, "phrase")
-    ranked = best.join(spelled, "mark").withColumn("rank", F.row_number().over(last))
-    ranked = ranked.where(F.col("rank") <= top).join(total, "lang")
-    long_rank = F.col("rank").cast("long").alias("rank")
-    return ranked.select("lang", long_rank, "phrase", "a", "l", "r", "n", "score")
+    scored = left.select("lang", "lang_mark", "phrase", "a", "w.l", "w.r", "w.score")
+    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return ranked.join(total, "lang_mark").select(
+        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
+    )
