@@ -20,10 +20,12 @@ from pyspark.ml.feature import (
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from keepsake.constants import MAX_CATEGORIES
 from keepsake.functions.cells import column
 from keepsake.functions.scores import dense
+from keepsake.operators.ranks import FEW_VALUES, WideIndexer
 
 
 def assemble(columns: Sequence[str], output: str = "features") -> VectorAssembler:
@@ -35,7 +37,8 @@ def index_by_frequency(columns: Sequence[str], suffix: str = "_index") -> String
     """Text to index, the most frequent value first, ties in alphabetical order.
 
     All columns are counted in one pass. Values unseen in training, and NULL, get an index of
-    their own past the last.
+    their own past the last. Every value reaches the driver; for columns that may have more than
+    some ten thousand, use `index_wide`.
     """
     return StringIndexer(
         inputCols=list(columns),
@@ -45,9 +48,31 @@ def index_by_frequency(columns: Sequence[str], suffix: str = "_index") -> String
     )
 
 
-def index_in_place(train: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace text columns of ``df`` by their frequency index in ``train``."""
-    indexed = index_by_frequency(columns).fit(train).transform(df)
+def index_wide(
+    columns: Sequence[str], suffix: str = "_index", order: str = "frequency", few: int = FEW_VALUES
+) -> list[WideIndexer]:
+    """Text to index as above, for columns of any number of values: one stage for each column.
+
+    With about ``few`` values or fewer the fitted stage is MLlib's; beyond, values are numbered in
+    tables and rows find theirs by a join. The indices are the same.
+    """
+    return [
+        WideIndexer(inputCol=c, outputCol=c + suffix, order=order, few=few) for c in columns
+    ]
+
+
+def index_in_place(
+    train: DataFrame, df: DataFrame, columns: Sequence[str], few: int = FEW_VALUES
+) -> DataFrame:
+    """Replace text columns of ``df`` by their frequency index in ``train``. Columns with more than
+    about ``few`` values are indexed without bringing them to the driver."""
+    counts = train.agg(
+        *[F.approx_count_distinct(column(c).cast("string")) for c in columns]
+    ).first()
+    narrow = [c for c, n in zip(columns, counts) if n <= few]
+    indexed = index_by_frequency(narrow).fit(train).transform(df) if narrow else df
+    for stage in index_wide([c for c in columns if c not in narrow], few=few):
+        indexed = stage.fit(train).transform(indexed)
     return _take_over(indexed, columns, "_index")
 
 
@@ -69,7 +94,8 @@ def one_hot_in_place(
 
 
 def label_one_hot(column_name: str, output: str) -> list[Estimator]:
-    """The label as a 0/1 vector with one place per class, classes in alphabetical order."""
+    """The label as a 0/1 vector with one place per class, classes in alphabetical order. Every
+    class reaches the driver; an unseen one, or NULL, is an error."""
     index = output + "_index"
     return [
         StringIndexer(inputCol=column_name, outputCol=index, stringOrderType="alphabetAsc"),
@@ -77,6 +103,17 @@ def label_one_hot(column_name: str, output: str) -> list[Estimator]:
     ]
 
 
+def label_one_hot_wide(column_name: str, output: str, few: int = FEW_VALUES) -> list[Estimator]:
+    """The same for a label of any number of classes. An unseen class, or NULL, gets no place: its
+    vector is all 0."""
+    index = output + "_index"
+    return [
+        WideIndexer(inputCol=column_name, outputCol=index, order="alphabet", few=few),
+        # The last index is that of the classes without a place.
+        OneHotEncoder(inputCols=[index], outputCols=[output], dropLast=True),
+    ]
+
+
 def label_index(column_name: str, labels: Sequence[str], output: str) -> StringIndexerModel:
     """Label text to its place in ``labels``; (negative, positive) gives 0.0 and 1.0.
 

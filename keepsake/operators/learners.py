@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
@@ -16,7 +16,16 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 
-from keepsake.constants import FOREST_BINS, FOREST_DEPTH, FOREST_TREES, NETWORK_HIDDEN
+from pyspark.sql import DataFrame
+
+from keepsake.constants import (
+    FOREST_BINS,
+    FOREST_DEPTH,
+    FOREST_TREES,
+    NETWORK_HIDDEN,
+    SHARE_FIFTH,
+)
+from keepsake.operators.calibrate import PlattScaling
 from keepsake.operators.features import (
     assemble,
     detect_categories,
@@ -25,6 +34,7 @@ from keepsake.operators.features import (
     standardize,
 )
 from keepsake.operators.missing import flags_to_numbers, mean_imputer, zero_filler
+from keepsake.operators.split import split
 
 DEFAULT_SEED = 7
 
@@ -64,7 +74,7 @@ def logistic(
 ) -> LogisticRegression:
     """Linear classifier: plain, or with an ``'l1'`` or ``'l2'`` penalty.
 
-    ``strength`` is MLlib's, 1 / (rows * C) in terms of an inverse strength C. ``settings``
+    ``strength`` is MLlib's; `penalty_strength` gives it for an inverse strength C. ``settings``
     overrides MLlib's parameters by name, such as ``maxIter`` and ``tol``; whether a fit converged
     is in the model's ``summary.totalIterations``.
     """
@@ -78,10 +88,20 @@ def logistic(
     return learner.setWeightCol(weight) if weight else learner
 
 
+def penalty_strength(train: DataFrame, inverse: float = 1.0) -> float:
+    """MLlib's ``strength`` for an inverse strength C, which weighs the summed loss of the training
+    rows against the penalty: 1 / (rows * C). One count; an error without rows."""
+    rows = train.count()
+    if not rows or inverse <= 0:
+        raise ValueError("an inverse strength is over 0, for one row or more")
+    return 1 / (rows * inverse)
+
+
 def linear_svc(
     label: str = "label_index", features: str = "features", **settings
 ) -> LinearSVC:
-    """Support-vector classifier with a linear kernel. It gives a margin, not a probability.
+    """Support-vector classifier with a linear kernel. It gives a margin; `calibrated_svc` adds a
+    probability.
 
     The solver stops as MLlib's does by default; ``settings`` (``maxIter``, ``tol``, ``regParam``)
     overrides that.
@@ -89,6 +109,29 @@ def linear_svc(
     return LinearSVC(labelCol=label, featuresCol=features, regParam=0.01).setParams(**settings)
 
 
+def calibrated_svc(
+    train: DataFrame,
+    columns: Sequence[str],
+    key: Sequence[str],
+    label: str = "label",
+    scaling: str | None = "standard",
+    held: float = SHARE_FIFTH,
+    seed: int = DEFAULT_SEED,
+    **settings,
+) -> PipelineModel:
+    """A fitted support-vector pipeline that gives probabilities.
+
+    The share ``held`` of the training rows, by a hash of ``key``, is kept from the classifier, and
+    its margins are scaled to probabilities by Platt's method (`PlattScaling`). ``prediction``
+    stays the side of the margin. The result is one pipeline that can be saved.
+    """
+    fitted, rest = split(train, key, held, seed + 1)
+    stages = classification_stages(linear_svc(label, **settings), columns, scaling=scaling)
+    model = stages.fit(fitted)
+    scale = PlattScaling(labelCol=label).fit(model.transform(rest))
+    return PipelineModel([*model.stages, scale])
+
+
 def network(
     shape: str,
     inputs: int,
@@ -98,15 +141,17 @@ def network(
     seed: int = DEFAULT_SEED,
     **settings,
 ) -> MultilayerPerceptronClassifier:
-    """Feed-forward network with the named hidden layers.
+    """Feed-forward network with the named hidden layers; ``'none'`` has none.
 
     Layer shape and task are the study's; the training is MLlib's: sigmoid hidden units, softmax
     output, L-BFGS over the whole training set. ``settings`` overrides its parameters by name.
+    MLlib weighs each block of ``blockSize`` rows alike, a partition's last and shorter one too;
+    ``blockSize=1`` gives the optimum over the rows, at the price of slower passes.
     """
     return MultilayerPerceptronClassifier(
         labelCol=label,
         featuresCol=features,
-        layers=[inputs, *NETWORK_HIDDEN[shape], classes],
+        layers=[inputs, *({**NETWORK_HIDDEN, "none": ()}[shape]), classes],
         seed=seed,
     ).setParams(**settings)
 

@@ -167,11 +167,12 @@ _CHURN = (
     """
 )
 
-_CHURN_COLUMNS = ", ".join(
-    ["state", "account_length", "area_code", "phone", "int_plan", "vmail_plan", "vmail_message"]
-    + [f"{p}_{m}" for p in _PARTS_OF_DAY for m in ("mins", "calls", "charge")]
-    + ["custserve_calls", "label"]
-)
+_CHURN_FEATURES = [
+    "account_length", "int_plan", "vmail_plan", "vmail_message",
+    *[f"{p}_{m}" for p in _PARTS_OF_DAY for m in ("mins", "calls", "charge")],
+    "custserve_calls",
+]
+_CHURN_COLUMNS = ", ".join(["state", "area_code", "phone", *_CHURN_FEATURES, "label"])
 
 _RENEWAL = """
     sums AS (
@@ -233,7 +234,7 @@ ORACLE: dict[str, str] = {
     "churn_lines_typed": f"WITH {_CHURN} SELECT {_CHURN_COLUMNS} FROM churn",
     "churn_csv_typed": f"""
         WITH {_CHURN}
-        SELECT int_plan, vmail_plan, account_length, day_mins, custserve_calls,
+        SELECT {", ".join(_CHURN_FEATURES)},
                (CASE WHEN label = 'True.' THEN 1 ELSE 0 END)::DOUBLE AS label
         FROM churn""",
     "renewal_lines_typed": f"""
@@ -419,6 +420,69 @@ _GROUP_MEANS_WEIGHTED = f"""
 for _learner in ("logreg", "forest"):
     ORACLE[f"{_learner}_group_means"] = _GROUP_MEANS
     ORACLE[f"{_learner}_group_means_weighted"] = _GROUP_MEANS_WEIGHTED
+_GROUPS = f"""
+    g AS (SELECT l_linenumber, count(*) AS n, avg(label) AS mean,
+                 count(*) / (sum(count(*)) OVER ())::DOUBLE AS share
+          FROM ({_MARKED}) GROUP BY l_linenumber)"""
+# What minimizes the mean loss plus the penalty: with one weight for each group and nothing else, a
+# group's weight depends on its own rows alone.
+ORACLE["logreg_l1_group_means"] = f"""
+    WITH {_GROUPS}
+    SELECT l_linenumber, n, round(CASE WHEN abs(mean - 0.5) <= 0.02::DOUBLE / share THEN 0.5
+           ELSE mean - sign(mean - 0.5) * 0.02::DOUBLE / share END, 4)::DOUBLE AS probability
+    FROM g"""
+_SLOPE = "share * (1 / (1 + exp(-(low + high) / 2)) - mean) + 0.02::DOUBLE * (low + high) / 2"
+ORACLE["logreg_l2_group_means"] = f"""
+    WITH RECURSIVE {_GROUPS},
+    b AS (
+        SELECT l_linenumber, n, mean, share, -20.0::DOUBLE AS low, 20.0::DOUBLE AS high, 0 AS step
+        FROM g
+        UNION ALL
+        SELECT l_linenumber, n, mean, share,
+               CASE WHEN {_SLOPE} < 0 THEN (low + high) / 2 ELSE low END,
+               CASE WHEN {_SLOPE} < 0 THEN high ELSE (low + high) / 2 END, step + 1
+        FROM b WHERE step < 60)
+    SELECT l_linenumber, n, round(1 / (1 + exp(-(low + high) / 2)), 4) AS probability
+    FROM b WHERE step = 60"""
+ORACLE["svc_group_margins"] = f"""
+    WITH {_GROUPS}
+    SELECT l_linenumber, n,
+           round(greatest(-1, least(1, (2 * mean - 1) * share / 0.15::DOUBLE)), 4) AS margin
+    FROM g"""
+ORACLE["mlp_group_means"] = _GROUP_MEANS
+# Newton steps, as many as any start needs.
+ORACLE["platt_fit"] = f"""
+    WITH RECURSIVE m AS (
+        SELECT (l_quantity - 25) / 10 AS x,
+               ((l_linenumber % 2 = 0) = (l_quantity < 35))::INT AS label FROM lineitem),
+    s AS (SELECT sum(label)::DOUBLE AS n1, sum(1 - label)::DOUBLE AS n0 FROM m),
+    t AS (SELECT x, CASE label WHEN 1 THEN (n1 + 1) / (n1 + 2) ELSE 1 / (n0 + 2) END AS t,
+                 count(*)::DOUBLE AS w FROM m, s GROUP BY ALL),
+    r AS (
+        SELECT 0.0::DOUBLE AS a, ln((n1 + 1) / (n0 + 1)) AS b, 0 AS step FROM s
+        UNION ALL
+        SELECT a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab),
+               b - (haa * gb - hab * ga) / (haa * hbb - hab * hab), step + 1
+        FROM (
+            SELECT a, b, step, sum(w * (p - t) * x) AS ga, sum(w * (p - t)) AS gb,
+                   sum(w * p * (1 - p) * x * x) AS haa, sum(w * p * (1 - p) * x) AS hab,
+                   sum(w * p * (1 - p)) AS hbb
+            FROM (SELECT a, b, step, x, t, w, 1 / (1 + exp(-(a * x + b))) AS p
+                  FROM r, t WHERE step < 30)
+            GROUP BY a, b, step))
+    SELECT (SELECT count(*) FROM m) AS n, round(a, 6) AS slope, round(b, 6) AS offset
+    FROM r WHERE step = 30"""
+ORACLE["score_saved_model"] = "SELECT count(*) AS n, count(*) AS n_same FROM customer"
+ORACLE["csv_mixed_headers"] = """
+    SELECT p_partkey::DOUBLE AS p_partkey, p_name, p_retailprice,
+           CASE WHEN p_partkey % 2 = 1 THEN p_type END AS p_type
+    FROM part"""
+ORACLE["label_index_wide"] = """
+    WITH c AS (SELECT o_custkey::VARCHAR AS customer, count(*) AS n FROM orders GROUP BY ALL),
+    r AS (SELECT customer, (row_number() OVER (ORDER BY n DESC, customer) - 1)::DOUBLE AS i,
+                 (row_number() OVER (ORDER BY customer) - 1)::DOUBLE AS p FROM c)
+    SELECT o_orderkey, i AS customer_index, p AS customer_place
+    FROM orders JOIN r ON o_custkey::VARCHAR = customer"""
 ORACLE["split_exact_repeats"] = """
     SELECT 'test' AS part, ceil(count(*) * 0.3::DOUBLE)::BIGINT AS n FROM lineitem
     UNION ALL SELECT 'train', (count(*) - ceil(count(*) * 0.3::DOUBLE))::BIGINT FROM lineitem"""

@@ -19,7 +19,8 @@ from keepsake.operators import learners as ln
 from keepsake.operators import missing as ms
 from keepsake.operators import profile as pf
 from keepsake.operators import split as sp
-from keepsake.plans import derived, studies
+from keepsake.operators.calibrate import fit_sigmoid
+from keepsake.plans import derived, scoring, studies
 from keepsake.plans.derived import table
 from keepsake.session import new_shared_path
 from keepsake.sources import delimited, schemas, sinks
@@ -88,13 +89,29 @@ def churn_lines_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def churn_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The churn scan with a header: numbers, flags, 0/1 label."""
+    """The churn scan with a header: all its numbers, flags, 0/1 label."""
     read = schemas.read_churn_with_header(spark, derived.write_churn_csv(spark, sf_dir))
     return read.select(
         F.col("Int'l Plan").alias("int_plan"), F.col("VMail Plan").alias("vmail_plan"),
-        F.col("Account Length").alias("account_length"), F.col("Day Mins").alias("day_mins"),
-        F.col("Custserve Calls").alias("custserve_calls"), "label",
+        *[
+            cells.column(c).alias(c.replace(" ", "_").lower())
+            for c in read.columns if c not in ("Int'l Plan", "VMail Plan")
+        ],
+    )
+
+
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder whose files have the same columns in two orders, and one more in some of them."""
+    path = new_shared_path(spark, "part-mixed")
+    parts = table(spark, sf_dir, "part")
+    plain, turned = parts.where("p_partkey % 2 = 0"), parts.where("p_partkey % 2 = 1")
+    plain.select("p_partkey", "p_name", "p_retailprice").write.csv(path, header=True)
+    turned.select("p_retailprice", "p_type", "p_partkey", "p_name").write.mode("append").csv(
+        path, header=True
     )
+    types = {"p_partkey": "double", "p_name": "string", "p_type": "string",
+             "p_retailprice": "double"}
+    return delimited.read_with_header(spark, path, types, headers="each", optional=["p_type"])
 
 
 def renewal_lines_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,6 +288,18 @@ def label_index_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ft.index_in_place(orders, orders, ["o_orderstatus", "o_orderpriority"])
 
 
+def label_index_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column with as many values as customers, numbered by frequency and by alphabet in tables."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("customer")
+    )
+    stages = [
+        *ft.index_wide(["customer"], few=0), *ft.index_wide(["customer"], "_place", "alphabet", 0)
+    ]
+    indexed = Pipeline(stages=stages).fit(orders).transform(orders)
+    return indexed.select("o_orderkey", "customer_index", "customer_place")
+
+
 def label_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Priority to index and back to text, with the labels of the fitted indexer."""
     orders = _order_labels(spark, sf_dir)
@@ -422,6 +451,51 @@ def quality_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.join(marked, "doc_id")
 
 
+def _marked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with a label that depends on the line number and the quantity."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_linenumber").cast("double").alias("line"),
+        ((F.col("l_linenumber") % 2 == 0) == (F.col("l_quantity") < 35))
+        .cast("double").alias("label"),
+        ((F.col("l_quantity") - 25) / 10).alias("margin"),
+    )
+
+
+def platt_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sigmoid that turns a margin into a probability, fitted to all line items."""
+    rows = _marked_lines(spark, sf_dir)
+    slope, offset = fit_sigmoid(rows, "margin", "label")
+    n = rows.agg(F.count(F.lit(1)).alias("n"))
+    return n.select("n", _round(F.lit(slope)).alias("slope"), _round(F.lit(offset)).alias("offset"))
+
+
+def svc_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A linear support-vector classifier with probabilities: the listing of held-out documents."""
+    rows, = sinks.keep_in_memory(quality_rows(spark, sf_dir))
+    train, test = sp.split(rows, ["text_hash"], C.SHARE_FIFTH)
+    model = ln.calibrated_svc(train, TEXT_FEATURES, ["text_hash"])
+    return ev.listing(model.transform(test), ["doc_id"], probability="probability")
+
+
+def score_saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many customers there are in a file without labels, and how many of them a saved model
+    scores as the fitted one does."""
+    path = derived.write_churn_csv(spark, sf_dir)
+    result = studies.run_study(spark, "churn_linear", path)
+    model, unmarked = new_shared_path(spark, "model"), new_shared_path(spark, "churn-unmarked")
+    scoring.save_model(result, "churn_linear", model)
+    delimited.read_with_header(spark, path).drop(C.CHURN_HEADER_LABEL).write.csv(
+        unmarked, header=True
+    )
+    scorer = scoring.Scorer.load(spark, model)
+    rows = scorer.read(spark, unmarked)
+    saved_score = scores.element(F.col("probability"), 1).alias("saved")
+    again = scorer.score(rows).select(*[cells.column(c) for c in rows.columns], saved_score)
+    both = result.model.transform(again)
+    same = scores.element(F.col("probability"), 1) == F.col("saved")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(same).alias("n_same"))
+
+
 def _group_means(
     learner: Estimator, hot: bool, weighted: bool, digits: int = 4
 ) -> Callable[[SparkSession, str], DataFrame]:
@@ -429,12 +503,7 @@ def _group_means(
     probability of each line number. It is known without a fit: the (weighted) mean label."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        items = table(spark, sf_dir, "lineitem").select(
-            F.col("l_linenumber").cast("double").alias("line"),
-            ((F.col("l_linenumber") % 2 == 0) == (F.col("l_quantity") < 35))
-            .cast("double").alias("label"),
-        )
-        rows, = sinks.keep_in_memory(items)
+        rows, = sinks.keep_in_memory(_marked_lines(spark, sf_dir))
         if weighted:
             rows = pf.with_class_weight(rows, rows, "label")
         shaped = [ft.one_hot(["line"])] if hot else []
@@ -448,8 +517,33 @@ def _group_means(
     return query
 
 
+def _group_fits(learner: Callable[[], Estimator], margin: bool = False) -> Query:
+    """As above, on all seven places of the line number and without weights: the fitted probability
+    or margin of each line number, which a formula gives without a fit."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, = sinks.keep_in_memory(_marked_lines(spark, sf_dir))
+        stages = [ft.one_hot(["line"], drop_last=False), ft.assemble(["line_hot"]), learner()]
+        scored = Pipeline(stages=stages).fit(rows).transform(rows)
+        name, value = ("margin", "rawPrediction") if margin else ("probability", "probability")
+        return scored.groupBy(F.col("line").cast("int").alias("l_linenumber")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.round(F.max(vector_to_array(value)[1]), 4).alias(name),
+        )
+
+    return query
+
+
 def _group_mean_queries() -> dict[str, Query]:
-    found = {}
+    exact = {"label": "label", "tol": 1e-12, "maxIter": 1000}
+    bare = {**exact, "fitIntercept": False, "standardization": False}
+    found = {
+        "logreg_l1_group_means": _group_fits(lambda: ln.logistic("l1", 0.02, **bare)),
+        "logreg_l2_group_means": _group_fits(lambda: ln.logistic("l2", 0.02, **bare)),
+        "svc_group_margins": _group_fits(lambda: ln.linear_svc(**bare, regParam=0.15), margin=True),
+        # One row a block: MLlib weighs a partition's last, shorter block like a full one.
+        "mlp_group_means": _group_fits(lambda: ln.network("none", 8, **exact, blockSize=1)),
+    }
     for suffix, weight in (("", None), ("_weighted", "weight")):
         found[f"logreg_group_means{suffix}"] = _group_means(
             lambda w=weight: ln.logistic(label="label", weight=w, tol=1e-12, maxIter=500),
@@ -621,14 +715,15 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         text_split_pick, csv_header_scan, csv_sink_roundtrip, preview_top20, churn_lines_typed,
-        churn_csv_typed, renewal_lines_typed, renewal_csv_typed, project_drop_rename,
+        churn_csv_typed, csv_mixed_headers, renewal_lines_typed, renewal_csv_typed, project_drop_rename,
         yes_no_flags, safe_cast_zero, label_one_vs_rest, row_subset, null_audit, impute_mean,
         column_stats, corr_topk, corr_matrix, renewal_top_correlations, category_counts,
-        class_weights, class_weight_column, label_index_freq, label_index_multi, label_decode,
+        class_weights, class_weight_column, label_index_freq, label_index_multi, label_index_wide,
+        label_decode,
         onehot_features, onehot_label, vector_assemble_dense, auto_categorical,
         auto_categorical_rows, standardize, standardize_sample, center_only, split_hash,
         split_exact, split_exact_repeats, split_quarter_ids, score_argmax, score_softmax,
-        prediction_listing,
+        prediction_listing, platt_fit, svc_probability, score_saved_model,
         classification_report, balanced_accuracy, accuracy, accuracy_pct, auc_roc, auc_pr,
         metric_table,
     )

@@ -8,8 +8,11 @@ and an unreadable cell is NULL instead of a failed job.
 
 from __future__ import annotations
 
+import csv
 import re
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,21 +81,77 @@ def read_with_header(
     types: Mapping[str, str] | None = None,
     separator: str = ",",
     multi_line: bool = False,
+    headers: str = "same",
+    optional: Collection[str] = (),
 ) -> DataFrame:
     """Read CSV that has a header line, quotes honoured.
 
     ``types`` maps header names to string, double or boolean; only those columns are read, by
     name, in whatever order the files have them. Without it every column is read as text. No pass
-    over the data infers anything; only header lines are looked at. All files of a folder must have
-    the same header: a file with another one, or with another order of names, fails the read.
+    over the data infers anything; only header lines are looked at. A column that is not in the
+    header is an error, which names it, unless it is ``optional``: then it is NULL.
+
+    With ``headers='same'`` all files of a folder must have one header: a file with another one, or
+    with another order of names, fails the read. With ``'each'`` every file is read by its own
+    header: files with equal headers are scanned together, and the scans are united by name.
 
     ``multi_line`` allows line ends inside quoted cells. Such a file cannot be cut into parts, so
     one task reads it whole; leave it off for large files.
     """
-    cells = spark.read.csv(
-        path, header=True, enforceSchema=False, sep=separator, quote='"', escape='"',
-        multiLine=multi_line,
-    )
+    if headers not in ("same", "each"):
+        raise ValueError(f"headers is 'same' or 'each', not {headers!r}")
+    groups = [([path], path)]
+    if headers == "each":
+        found = files_by_header(spark, path, separator)
+        groups = [(files, files[0]) for _, files in sorted(found.items())]
+    scans = []
+    for files, shown in groups:
+        cells = spark.read.csv(
+            files, header=True, enforceSchema=False, sep=separator, quote='"', escape='"',
+            multiLine=multi_line,
+        )
+        scans.append(_typed(cells, types, optional, shown))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=types is None), scans)
+
+
+def _typed(
+    cells: DataFrame, types: Mapping[str, str] | None, optional: Collection[str], shown: str
+) -> DataFrame:
     if types is None:
         return cells
-    return cells.select(*[to_type(column(c), kind).alias(c) for c, kind in types.items()])
+    missing = [c for c in types if c not in cells.columns and c not in optional]
+    if missing:
+        raise ValueError(f"{shown} has no column {', '.join(missing)}")
+    return cells.select(
+        *[
+            (to_type(column(c), kind) if c in cells.columns else F.lit(None).cast(kind)).alias(c)
+            for c, kind in types.items()
+        ]
+    )
+
+
+def files_by_header(
+    spark: SparkSession, path: str, separator: str = ","
+) -> dict[tuple[str, ...], list[str]]:
+    """The files of a folder by the names in their header lines; files without a line are left out.
+
+    Spark lists the files and reads one line of each, in small jobs side by side; file names and
+    headers are all that reaches the driver. Two names that are equal in one header are an error.
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+
+    def header(file: str) -> tuple[str, ...] | None:
+        line = spark.read.text(file).head()
+        return tuple(next(csv.reader([line[0]], delimiter=separator), ())) if line else None
+
+    with ThreadPoolExecutor(16) as pool:
+        found: dict[tuple[str, ...], list[str]] = {}
+        for file, names in zip(files, pool.map(header, files)):
+            if names is None:
+                continue
+            if len(set(names)) < len(names):
+                raise ValueError(f"{file} has a column name twice: {', '.join(names)}")
+            found.setdefault(names, []).append(file)
+    if not found:
+        raise ValueError(f"{path} has no file with a header line")
+    return found

@@ -29,7 +29,8 @@ def read_churn(spark: SparkSession, path: str) -> DataFrame:
 def read_churn_with_header(spark: SparkSession, path: str) -> DataFrame:
     """Churn CSV with a header: flags by exact ``yes``, 0/1 label, identifying columns dropped.
 
-    The remaining columns keep their header names and are read as numbers.
+    The remaining columns keep their header names and are read as numbers. Without a label column,
+    as in files that are still to be scored, the label is NULL.
     """
     raw = read_with_header(spark, path)
     features = [c for c in raw.columns if c not in C.CHURN_HEADER_DROPPED]
@@ -37,8 +38,10 @@ def read_churn_with_header(spark: SparkSession, path: str) -> DataFrame:
         (is_yes(column(c)) if c in C.CHURN_HEADER_FLAGS else to_double(column(c))).alias(c)
         for c in features
     ]
-    label = equals_label(column(C.CHURN_HEADER_LABEL), C.CHURN_LABELS[1]).alias("label")
-    return raw.select(*typed, label)
+    label = F.lit(None).cast("double")
+    if C.CHURN_HEADER_LABEL in raw.columns:
+        label = equals_label(column(C.CHURN_HEADER_LABEL), C.CHURN_LABELS[1])
+    return raw.select(*typed, label.alias("label"))
 
 
 def read_renewal(spark: SparkSession, path: str, fill: str | None = None) -> DataFrame:
@@ -52,7 +55,10 @@ def read_renewal(spark: SparkSession, path: str, fill: str | None = None) -> Dat
 def read_renewal_with_header(
     spark: SparkSession, path: str, label_column: str = C.RENEWAL_HEADER_LABEL
 ) -> DataFrame:
-    """Renewal CSV with a header: ten numbers and the label column, text or numeric code."""
+    """Renewal CSV with a header: ten numbers and the label column, text or numeric code.
+
+    Without the label column, as in files that are still to be scored, it is NULL.
+    """
     kind = "double" if label_column == C.RENEWAL_HEADER_CODE else "string"
     types = {**{c: "double" for c in C.RENEWAL_FEATURES}, label_column: kind}
-    return read_with_header(spark, path, types)
+    return read_with_header(spark, path, types, optional=(label_column,))
