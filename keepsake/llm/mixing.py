@@ -70,31 +70,45 @@ def source_targets(
     return totals.select("source", "source_size", target.alias("target"))
 
 
-def _point(doc_id: Column, seed: int) -> Column:
-    """A row's place in the seeded order of all rows, from 0 to 2**52 - 1."""
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), doc_id.cast("string")))
+def _point(docs: DataFrame, seed: int, doc_id: str, text: str) -> Column:
+    """A row's place in the seeded order of all rows, from 0 to 2**52 - 1: by its id and whole text,
+    so that rows without an id, or with one id, have places of their own."""
+    digest = F.md5(
+        F.concat_ws(
+            "|", F.lit(str(seed)), docs[doc_id].cast("string"), F.md5(docs[text].cast("binary"))
+        )
+    )
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
 
 
+def _rest(docs: DataFrame, *used: str) -> Column:
+    """A number from all other columns: the order of rows with one id and text."""
+    others = [docs[c] for c in docs.columns if c not in used]
+    return F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0).cast("long")
+
+
 def measured(docs: DataFrame, seed: int = 7, text="text", source="source", doc_id="doc_id"):
-    """Every row's (key, source, size, point), stored: what the plan is made from."""
+    """Every row's (key, source, size, point, rest), stored: what the plan is made from."""
     return stored(
         docs.select(
             docs[doc_id].alias("key"),
             docs[source].alias("source"),
             word_count(docs[text]).alias("size"),
-            _point(docs[doc_id], seed).alias("point"),
+            _point(docs, seed, doc_id, text).alias("point"),
+            _rest(docs, doc_id, text, source).alias("rest"),
         ),
         "sizes",
     )
 
 
 def plan(rows: DataFrame, weights=WEIGHTS, share=SHARE, epochs=MAX_EPOCHS) -> DataFrame:
-    """(source, source_size, target, whole, last) for each source of `measured` rows.
+    """(source, source_size, target, whole, last, last_rest, ties, chosen) for each source of
+    `measured` rows; stored, so that Spark knows its size before it is joined.
 
-    A row is taken `whole` times, and once more if its point is at most `last`. Rows are counted in
-    by point until the next would go further past the target than it is now short of it, so taken
-    words miss the target by half a row at most. Rows with one doc_id are taken together.
+    A row is taken `whole` times, and once more if its (point, rest) is before (last, last_rest). Of
+    the `ties` rows at that very place, equal in every column, `chosen` are taken once more. Rows are
+    counted in until the next would go further past the target than it is now short of it, so taken
+    words miss the target by half a row at most.
     """
     cells = stored(
         rows.groupBy("source", F.shiftright("point", _SHIFT).alias("cell")).agg(
@@ -122,20 +136,39 @@ def plan(rows: DataFrame, weights=WEIGHTS, share=SHARE, epochs=MAX_EPOCHS) -> Da
     held = _by_source(rows.where("size > 0"), borders).where(
         F.shiftright("point", _SHIFT) == F.col("cell")
     )
-    points = held.groupBy("source", "more", "before", "point").agg(F.sum("size").alias("size"))
-    earlier = F.sum("size").over(
-        Window.partitionBy("source").orderBy("point").rowsBetween(Window.unboundedPreceding, -1)
+    places = held.groupBy("source", "more", "before", "point", "rest").agg(
+        F.count("*").alias("ties"), F.max("size").alias("size")
+    )
+    earlier = F.sum(F.col("ties") * F.col("size")).over(
+        Window.partitionBy("source").orderBy("point", "rest").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    short = F.col("more") - F.col("before") - F.coalesce(earlier, F.lit(0))
+    fitting = F.when(
+        F.col("size") / 2 <= short,
+        F.greatest(F.lit(1), F.least("ties", F.floor(short / F.col("size") + 0.5))),
+    )
+    chosen = places.select("source", "point", "rest", "ties", fitting.alias("chosen"))
+    inside = (
+        chosen.where("chosen IS NOT NULL")
+        .groupBy("source")
+        .agg(F.max(F.struct("point", "rest", "ties", "chosen")).alias("inside"))
     )
-    ahead = F.col("before") + F.coalesce(earlier, F.lit(0))
-    fits = points.withColumn("fits", ahead + F.col("size") / 2 <= F.col("more"))
-    inside = fits.where("fits").groupBy("source").agg(F.max("point").alias("inside"))
     edge = F.shiftleft(F.col("cell"), _SHIFT) - 1
     lasts = borders.select("source", edge.alias("edge"))
     out = _by_source(_by_source(sources, lasts, "left"), inside, "left")
     last = F.when(F.col("more") <= 0, -1).otherwise(
-        F.coalesce("inside", "edge", F.lit((1 << 52) - 1))
+        F.coalesce("inside.point", "edge", F.lit((1 << 52) - 1))
     )
-    return out.select("source", "source_size", "target", "whole", last.alias("last"))
+    none = F.col("more") <= 0
+    return stored(
+        out.select(
+            "source", "source_size", "target", "whole", last.alias("last"),
+            F.when(~none, F.col("inside.rest")).alias("last_rest"),
+            F.coalesce(F.when(~none, F.col("inside.ties")), F.lit(0)).alias("ties"),
+            F.coalesce(F.when(~none, F.col("inside.chosen")), F.lit(0)).alias("chosen"),
+        ),
+        "plan",
+    )
 
 
 def _by_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
@@ -144,23 +177,49 @@ def _by_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFra
     return left.join(right, F.col("source").eqNullSafe(F.col("_other")), how).drop("_other")
 
 
-def copies() -> Column:
-    """How often a row with a point is taken, next to its source's plan."""
-    return (F.col("whole") + F.when(F.col("point") <= F.col("last"), 1).otherwise(0)).cast("long")
+# Next to its source's plan: is a row one of the equal rows of which only some are taken?
+_AT_BORDER = "ties > chosen AND point = last AND rest = last_rest"
+
+
+def copies(tie: Column | None = None) -> Column:
+    """How often a row with a place is taken, next to its source's plan; `tie` is its number, from
+    1, among the equal rows at the border."""
+    inside = F.expr("point < last OR (point = last AND (last_rest IS NULL OR rest <= last_rest))")
+    inside = inside if tie is None else tie <= F.col("chosen")
+    return (F.col("whole") + F.when(inside, 1).otherwise(0)).cast("long")
+
+
+def _numbered(groups: DataFrame, n: str, out: str) -> DataFrame:
+    """A row `out` = 1, 2... n for each group; large groups are spread over tasks."""
+    step = 1 << 16
+    blocks = groups.withColumn("_block", F.explode(F.expr(f"sequence(0, ({n} - 1) div {step})")))
+    numbers = F.expr(f"sequence(_block * {step} + 1, least({n}, (_block + 1) * {step}))")
+    return blocks.repartition("_block", n).withColumn(out, F.explode(numbers)).drop("_block", n)
 
 
 def mix_counts(docs: DataFrame, seed: int = 7, **settings) -> DataFrame:
     """How often the mix takes each row: (key, source, size, source_size, target, copies, taken).
 
     key is the row's doc_id; size its words; target its source's words; taken = copies * size. A
-    null or empty text has size 0 and can be copied like others of its source. An empty table gives
-    an empty table. Other columns of `docs` are not looked at.
+    null or empty text has size 0 and is copied like others of its source. Rows with one id, or
+    none, are ordered by their texts and then by their other columns; of rows equal in all, any may
+    be the ones taken once more. A text is only counted and hashed, whatever its length. An empty
+    table gives an empty table.
     """
     rows = measured(docs, seed)
-    return _by_source(rows, plan(rows, **settings)).select(
-        "key", "source", "size", "source_size", "target", copies().alias("copies"),
-        (copies() * F.col("size")).alias("taken"),
-    )
+    wanted = plan(rows, **settings)
+    joined = _by_source(rows, wanted)
+    columns = ["key", "source", "size", "source_size", "target"]
+
+    def counted(df: DataFrame, tie: Column | None = None) -> DataFrame:
+        taken = copies(tie)
+        return df.select(*columns, taken.alias("copies"), (taken * F.col("size")).alias("taken"))
+
+    if wanted.where("ties > chosen").isEmpty():
+        return counted(joined)
+    groups = joined.where(_AT_BORDER).groupBy(*columns, "whole", "chosen").agg(F.count("*").alias("_n"))
+    ties = counted(_numbered(groups, "_n", "tie"), F.col("tie"))
+    return counted(joined.where(f"({_AT_BORDER}) IS NOT TRUE")).union(ties)
 
 
 def mixed(docs: DataFrame, seed: int = 7, **settings) -> DataFrame:
@@ -168,19 +227,27 @@ def mixed(docs: DataFrame, seed: int = 7, **settings) -> DataFrame:
 
     Only the plan, one row per source, is joined to the rows. It is stored first, so that Spark knows
     its size before it chooses the join: texts are shuffled only if there are too many sources for
-    Spark to broadcast.
+    Spark to broadcast, or if some of a number of equal rows are taken: these are counted first.
     """
-    wanted = plan(measured(docs, seed), **settings).select("source", "whole", "last")
-    wanted = stored(wanted, "plan")
+    wanted = plan(measured(docs, seed), **settings)
     tag, body = "_plan_source", "_body"
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias(body),
         docs["source"].alias("source"),
-        _point(docs["doc_id"], seed).alias("point"),
+        _point(docs, seed, "doc_id", "text").alias("point"),
+        _rest(docs, "doc_id", "text", "source").alias("rest"),
     )
-    wanted = wanted.withColumnRenamed("source", tag)
-    joined = rows.join(wanted, F.col("source").eqNullSafe(F.col(tag)))
-    repeated = joined.where(copies() > 0).select(
-        body, F.explode(F.sequence(F.lit(1), copies())).alias("_copy")
+    joined = rows.join(
+        wanted.withColumnRenamed("source", tag), F.col("source").eqNullSafe(F.col(tag))
     )
-    return repeated.select(f"{body}.*")
+
+    def repeated(df: DataFrame, tie: Column | None = None) -> DataFrame:
+        times = copies(tie)
+        copied = df.where(times > 0).select(body, F.explode(F.sequence(F.lit(1), times)).alias("_copy"))
+        return copied.select(f"{body}.*")
+
+    if wanted.where("ties > chosen").isEmpty():
+        return repeated(joined)
+    groups = joined.where(_AT_BORDER).groupBy(body, "whole", "chosen").agg(F.count("*").alias("_n"))
+    ties = repeated(_numbered(groups, "_n", "tie"), F.col("tie"))
+    return repeated(joined.where(f"({_AT_BORDER}) IS NOT TRUE")).union(ties)

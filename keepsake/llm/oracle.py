@@ -4,7 +4,7 @@ OP1 = r"""
 WITH d AS (
   SELECT doc_id, source,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5(concat_ws('|', '7', doc_id::VARCHAR)), 1, 13))::BIGINT AS point
+         ('0x' || substr(md5(concat_ws('|', '7', doc_id::VARCHAR, md5(text))), 1, 13))::BIGINT AS point
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 p AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM s),
