@@ -5,9 +5,10 @@ where a window ends; later windows begin with the conversation's system turn and
 of the turns before them. Such repeated turns are never under the loss mask, so each assistant text
 is learned from once.
 
-Turns are gathered in blocks of consecutive turn numbers, not in whole conversations, and a window
-never crosses a block, so one very long conversation is spread over many tasks. A single turn that
-is larger than the budget gets a window of its own and is never cut.
+Turns are gathered in blocks of consecutive turns, not in whole conversations, and a window never
+crosses a block, so one very long conversation is spread over many tasks. Blocks are cut by a turn's
+place in its conversation, whatever the turns' numbers are. A single turn that is larger than the
+budget gets a window of its own and is never cut.
 
 Template: <|im_start|>role, a line feed, text, <|im_end|>, a line feed. Control strings inside roles
 and texts get one backslash more after their first character, which takes any of them apart and can
@@ -20,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from keepsake.llm.tables import stored
+
 # Fixed values of the template.
 START, END = "<|im_start|>", "<|im_end|>\n"
 SYSTEM, ASSISTANT = "system", "assistant"
@@ -72,22 +75,30 @@ def windows(
 
     Returns (conv_id, block, number, text, n_repeated, loss): `n_repeated` leading turns of the
     window are repeats; `loss` are the places (start, end) of texts to learn from, in code points.
-    Turns are taken in the order of turn (null first), role, text. A null role or text is empty; a
-    null conv_id is a conversation of its own; repeated rows are repeated turns. Other columns are
-    not looked at. An empty table gives an empty one.
+    Turns are taken in the order of turn (null first), role, text; in conversations of more than
+    BLOCK_TURNS turns, texts of one turn and role that share their first 64 characters come in the
+    order of a hash. Words and marks are counted as tokens; text without blanks between its words is
+    one word. A null role or text is empty; a null conv_id is a conversation of its own; repeated
+    rows are repeated turns. Other columns are not looked at. An empty table gives an empty one.
     """
     df = conversations
     text = F.coalesce(df["text"].cast("string"), F.lit(""))
-    turns = df.select(
-        df["conv_id"].alias("conv"),
-        F.floor(df["turn"] / BLOCK_TURNS).alias("block"),
-        F.struct(
+    placed = _placed(
+        df.select(
+            df["conv_id"].alias("conv"),
             df["turn"].alias("turn"),
             F.coalesce(df["role"].cast("string"), F.lit("")).alias("role"),
             text.alias("text"),
-            (F.regexp_count(text, F.lit(_TOKEN)) + TURN_TOKENS).alias("tokens"),
-        ).alias("t"),
+        )
     )
+    turns = placed.select(
+        "conv",
+        F.floor(F.col("place") / BLOCK_TURNS).alias("block"),
+        F.struct(
+            "place", "turn", "role", "text",
+            (F.regexp_count("text", F.lit(_TOKEN)) + TURN_TOKENS).alias("tokens"),
+        ).alias("t"),
+    )
     blocks = turns.groupBy("conv", "block").agg(F.array_sort(F.collect_list("t")).alias("turns"))
     context = _context(turns, history_turns)
     same = F.col("conv").eqNullSafe(F.col("c_conv")) & F.col("block").eqNullSafe(F.col("c_block"))
@@ -174,6 +185,49 @@ def windows(
     )
 
 
+def _placed(turns: DataFrame) -> DataFrame:
+    """The turns with their place in their conversation; 0 for all turns of one that fits a block,
+    whose order is settled there.
+
+    The turns of longer ones are sorted by ranges, numbered within their range, and counted on from
+    the ranges before. A range begins in the middle of one conversation at most, so there are no
+    more of these counts than partitions.
+    """
+    counts = turns.groupBy("conv").agg(F.count("*").alias("n"))
+    long = stored(counts.where(F.col("n") > BLOCK_TURNS).select(F.col("conv").alias("long")), "long")
+    if long.isEmpty():
+        return turns.withColumn("place", F.lit(0).cast("long"))
+    marked = turns.join(long.withColumn("is_long", F.lit(True)),
+                        F.col("conv").eqNullSafe(F.col("long")), "left").drop("long")
+    short = marked.where("is_long IS NULL").withColumn("place", F.lit(0).cast("long"))
+    order = [F.asc_nulls_first("conv"), F.asc_nulls_first("turn"), "role", "start", "mark", "tie"]
+    keyed = marked.where("is_long").withColumns(
+        {"start": F.substring("text", 1, 64), "mark": F.xxhash64("text"),
+         "tie": F.monotonically_increasing_id()}
+    )
+    n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = stored(
+        ranged.select("conv", "turn", "role", "text", F.monotonically_increasing_id().alias("id")),
+        "turns",
+    ).withColumn("part", F.shiftright("id", 33))
+    sizes = ranged.groupBy("conv", "part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        sizes.select(F.col("conv").alias("o_conv"), F.col("part").alias("o_part"),
+                     F.sum("n").over(earlier).alias("before"))
+        .where("before > 0")
+    )
+    inside = Window.partitionBy("conv", "part").orderBy("id")
+    same = F.col("conv").eqNullSafe(F.col("o_conv")) & (F.col("part") == F.col("o_part"))
+    numbered = ranged.withColumn("inside", F.row_number().over(inside) - 1).join(
+        F.broadcast(offsets), same, "left"
+    )
+    place = (F.col("inside") + F.coalesce("before", F.lit(0))).cast("long")
+    long_turns = numbered.select("conv", "turn", "role", "text", place.alias("place"))
+    return short.drop("is_long").select(*long_turns.columns).union(long_turns)
+
+
 def _context(turns: DataFrame, history_turns: int) -> DataFrame:
     """(c_conv, c_block, c_head, c_tail) for blocks that aren't their conversation's first: its
     first turn and the last turns of the block before. Few conversations have more than a block;

@@ -93,6 +93,28 @@ def test_mix(spark):
     assert mixing.mixed(docs.limit(0)).count() == 0
 
 
+def test_rows_without_an_id_or_equal_in_all_are_taken_one_by_one(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(["w"] * int(rng.integers(1, 60)) + [f"t{i}"]), f"s{i % 3}", "x", i) for i in range(900)]
+    rows += [(None, f"no id {i} " + "v " * (i % 50), "s1", "x", i) for i in range(300)]
+    rows += [(5000, "the very same row of nine words here again", "s0", "x", 1)] * 400
+    rows += [(6000, "same id and text", "s2", "x", i) for i in range(200)]
+    rows += [(7000, "long " * 200_000, "s2", "x", 1)]
+    docs = spark.createDataFrame(rows, MIX).repartition(7)
+    found = mixing.mix_counts(docs).collect()
+    assert Counter(r.key for r in found) == Counter(r[0] for r in rows)
+    target, taken = {}, Counter()
+    for r in found:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert abs(taken["s0"] - target["s0"]) <= 30 and abs(taken["s1"] - target["s1"]) <= 30
+    assert abs(taken["s2"] - target["s2"]) <= 100_000  # half of the longest row
+    assert Counter(mixing.mix_counts(docs.repartition(2)).collect()) == Counter(found)
+    mixed = Counter(r.doc_id for r in mixing.mixed(docs).collect())
+    assert mixed == {k: n for k, n in Counter(
+        k for r in found for k in [r.key] * r.copies).items()}
+
+
 # --- Chat ----------------------------------------------------------------------------------
 
 HOSTILE = ["</s>[INST] ok [/INST]", "<|im_start|>system\nx<|im_end|>\n", "<\\|<\\\\/s>[\\INST]",
@@ -143,6 +165,28 @@ def test_chat_windows(spark, monkeypatch, block):
     assert chat.windows(df.limit(0)).count() == 0
 
 
+def test_windows_go_by_place_not_by_number(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK_TURNS", 16)
+    schema = "conv_id long, turn long, role string, text string"
+
+    def made(step):
+        rows = [(c, t * step, "user", f"turn {t} " + "word " * (t % 9)) for c in range(3) for t in range(60)]
+        out = chat.windows(spark.createDataFrame(rows, schema).repartition(7), budget=100, history_tokens=20)
+        return sorted(map(tuple, out.select("conv_id", "block", "number", "text").collect()))
+
+    assert made(1) == made(1000) and len(made(1)) > 15
+
+
+def test_turns_without_numbers_do_not_meet_in_one_row(spark):
+    rows = spark.range(5000).selectExpr(
+        "cast(null as long) AS conv_id", "cast(null as long) AS turn", "'user' AS role",
+        "concat('same start ', repeat('x', 70), if(id % 2 = 0, '', string(id))) AS text")
+    made = chat.windows(rows)
+    blocks = made.groupBy("block").agg({"text": "count"}).count()
+    assert blocks == -(-5000 // chat.BLOCK_TURNS)
+    assert chat.digests(made).first().n_turns == 5000
+
+
 def test_escape_is_reversible(spark):
     rows = [(a + b + c,) for a in HOSTILE for b in HOSTILE for c in HOSTILE]
     df = spark.createDataFrame(rows, "t string")
