@@ -71,8 +71,8 @@ class Vocabulary:
         return cls(hashes[order], [np.array([place[w] for w in own], int) for own in found])
 
 
-def build_index(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Blocks of postings, in a table: a row for about BLOCK characters of text.
+def build_index(docs: DataFrame, vocabulary: Vocabulary, block: int = BLOCK) -> DataFrame:
+    """Blocks of postings, in a table: a row for about `block` characters of text.
 
     ids, known and sizes: each document's id, if it has one, and number of terms. docs and counts
     are the postings of all terms after one another, starts where each term's begin.
@@ -82,7 +82,7 @@ def build_index(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         for batch in batches:
             texts = batch["text"].tolist()
             ids, known = batch["doc_id"].to_numpy(np.int64), batch["known"].to_numpy(bool)
-            for a, b in tx.runs(texts, BLOCK):
+            for a, b in tx.runs(texts, block):
                 terms, bounds = _term_hashes(texts[a:b])
                 size = np.diff(bounds)
                 place = np.searchsorted(vocabulary.hashes, terms)
@@ -204,7 +204,7 @@ def _joint(pairs, starts, docs, impacts, n_docs: int) -> np.ndarray:
 
 
 def search(
-    docs: DataFrame, queries: DataFrame, top: int = TOP, at_once: int = QUERIES
+    docs: DataFrame, queries: DataFrame, top: int = TOP, at_once: int = QUERIES, block: int = BLOCK
 ) -> DataFrame:
     """(item, rank, key, score): each query's `top` best documents with a score above 0.
 
@@ -224,7 +224,7 @@ def search(
     # Queries come in blocks of bounded size; a benchmark of any size is as many of them.
     ranked = stored(ranked, "queries")
     for rows in _in_blocks(ranked, at_once):
-        found = _search_block(docs, [r["item"] for r in rows], [r["text"] for r in rows], top)
+        found = _search_block(docs, [r["item"] for r in rows], [r["text"] for r in rows], top, block)
         out = found if out is None else out.union(found)
     if out is None:
         return spark.createDataFrame([], "item long, rank int, key long, score long")
@@ -242,9 +242,9 @@ def _in_blocks(ranked: DataFrame, at_once: int):
         after = rows[-1]["n"]
 
 
-def _search_block(docs: DataFrame, items: list, texts: list, top: int) -> DataFrame:
+def _search_block(docs: DataFrame, items: list, texts: list, top: int, block: int) -> DataFrame:
     vocabulary = Vocabulary.of(texts)
-    blocks = build_index(docs, vocabulary)
+    blocks = build_index(docs, vocabulary, block)
     statistics = Statistics.of(blocks, vocabulary)
     ranked = _ranked(vocabulary.queries, statistics.weights)
     pairs = _pairs(ranked)
@@ -254,9 +254,9 @@ def _search_block(docs: DataFrame, items: list, texts: list, top: int) -> DataFr
         best = [_Best(top) for _ in items]
         for batch in batches:
             for row in batch.itertuples():
-                block = _Block(row, pairs)
+                own = _Block(row, pairs)
                 for terms, kept in zip(ranked, best):
-                    block.search(terms, kept)
+                    own.search(terms, kept)
         rows = [
             (n, items[n], i, s) for n, b in enumerate(best) for i, s in zip(b.ids, b.scores.tolist())
         ]

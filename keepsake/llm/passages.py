@@ -30,14 +30,15 @@ PERIOD = 21
 COVER = (0, 1, 4, 14, 16)
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_RUN = 1 << 21
+# Characters of text that a task works on at once.
+RUN = 1 << 21
 _NOTHING = hashlib.sha256(b"").hexdigest()
 # What an entry is: counted where it is dealt, counted and known to repeat, or only known to.
 _OPEN, _FIRST, _KNOWN = 0, 1, 2
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
-def repeated_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def repeated_words(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFrame:
     """(key, n_words, n_removed, kept_sha256) for every row; key is its doc_id.
 
     A word is removed if it is covered by a window of `window` words whose words also start
@@ -50,7 +51,7 @@ def repeated_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = docs.select(
         docs["doc_id"].alias("key"), F.unhex(F.md5(_text(docs))).alias("same"),
     )
-    judged = judge(docs, window)
+    judged = judge(docs, window, run)
     copies = rows.groupBy("same").agg((F.count("*") > 1).alias("copied"))
     gone = F.col("copied") & (F.col("n_words") >= window)
     found = judged.join(copies, "same").select(
@@ -61,7 +62,7 @@ def repeated_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return rows.join(found, "same").select("key", "n_words", "n_removed", "kept_sha256")
 
 
-def judge(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def judge(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFrame:
     """(same, n_words, n_removed, kept_sha256, spans) of every distinct text.
 
     same is the text's MD5; spans lists the removed passages as (first word, word after the last).
@@ -81,9 +82,9 @@ def judge(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     n = dealt.destinations(places)
 
     sent = "dest int, mark binary, more binary, what binary, at binary, sizes binary, texts binary"
-    anchors = texts.mapInPandas(_anchors(anchor, n), sent)
+    anchors = texts.mapInPandas(_anchors(anchor, n, run), sent)
     near = texts.join(_repeats(anchors), "same", "left")
-    windows = near.where("places IS NOT NULL").mapInPandas(_windows(window, n), sent)
+    windows = near.where("places IS NOT NULL").mapInPandas(_windows(window, n, run), sent)
     last = texts.join(_repeats(windows), "same", "left")
     return last.mapInPandas(
         _remove(window),
@@ -103,14 +104,14 @@ def _repeats(sent: DataFrame) -> DataFrame:
     return found.groupBy("same").agg(F.collect_list("place").alias("places"))
 
 
-def _anchors(anchor: int, n: int):
+def _anchors(anchor: int, n: int, run: int):
     covered = np.zeros(PERIOD, bool)
     covered[list(COVER)] = True
 
     def find(batches):
         for batch in batches:
             texts, keys = batch["text"].tolist(), batch["same"].to_numpy()
-            for a, b in tx.runs(texts, _RUN):
+            for a, b in tx.runs(texts, run):
                 words, bounds = tx.word_hashes(texts[a:b], lower=False)
                 place, room = _places(bounds)
                 at = np.flatnonzero(covered[place % PERIOD] & (room >= anchor))
@@ -124,13 +125,13 @@ def _anchors(anchor: int, n: int):
     return find
 
 
-def _windows(window: int, n: int):
+def _windows(window: int, n: int, run: int):
     anchor = window - PERIOD + 1
 
     def find(batches):
         for batch in batches:
             texts, keys = batch["text"].tolist(), batch["same"].to_numpy()
-            for a, b in tx.runs(texts, _RUN):
+            for a, b in tx.runs(texts, run):
                 words, bounds = tx.word_hashes(texts[a:b], lower=False)
                 place, room = _places(bounds)
                 # A window that holds an anchor from its first PERIOD places on.

@@ -28,10 +28,11 @@ from keepsake.llm.tables import stored
 
 LONGEST = 4
 SHARDS = 8
-_RUN = 1 << 20
-_HELD = 1 << 19  # counts that a task adds up before it sends them
-_BITS = 27
-_SLICES = 8  # the bitmap is put together in 2^_SLICES parts
+# The filters' places, as a power of two.
+FILTER_BITS = 27
+# Characters of text that a task works on at once, and counts that it adds up before it sends them.
+RUN, HELD = 1 << 20, 1 << 19
+_SLICES = 8  # a bitmap is put together in 2^_SLICES parts
 _BASES = np.array(
     [0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 _ODD = np.uint64(0x1D8E4E27C47D124F)
@@ -44,6 +45,9 @@ def collocations(
     absorbed: int = 80,
     top: int = 2000,
     shards: int = SHARDS,
+    filter_bits: int = FILTER_BITS,
+    run: int = RUN,
+    held: int = HELD,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's `top` best phrases of 2 to 4 words.
 
@@ -56,7 +60,8 @@ def collocations(
 
     A null lang counts as `und`; null and empty texts have no words; repeated rows count each time;
     a text is worked on as a whole. An empty table, or one without frequent phrases, gives no rows.
-    Columns other than text and lang are not looked at.
+    Columns other than text and lang are not looked at. filter_bits, run and held change the work and
+    its memory, not the result.
     """
     if not 1 <= shards <= 256:
         raise ValueError("1 to 256 shards")
@@ -75,14 +80,17 @@ def collocations(
     lowered = np.array([max(1, -(-support * size.get(s, 0) // max(total, 1))) for s in range(256)])
     n = dealt.destinations(total / 3)
 
-    found = stored(_mined(rows.mapInPandas(_short(n), _SENT), lowered), "phrases")
-    local = spark.sparkContext.broadcast(_bitmap(found.where("NOT overall")))
-    longer = stored(_mined(rows.mapInPandas(_long(n, local), _SENT), lowered), "phrases")
-    every = spark.sparkContext.broadcast(_bitmap(found.union(longer).where("overall")))
-    counts = rows.mapInPandas(_candidates(n, every), _COUNTED)
+    broadcast = spark.sparkContext.broadcast
+    mined = lambda sent: stored(_mined(sent, lowered, filter_bits), "phrases")
+    found = mined(rows.mapInPandas(_short(n, run), _SENT))
+    local = broadcast(_bitmap(found.where("NOT overall"), filter_bits))
+    longer = mined(rows.mapInPandas(_long(n, run, local), _SENT))
+    every = broadcast(_bitmap(found.union(longer).where("overall"), filter_bits))
+    counts = rows.mapInPandas(_candidates(n, run, held, every), _COUNTED)
     frequent = stored(counts.groupBy("dest").applyInPandas(_frequent(support), _FREQUENT), "phrases")
-    homes = frequent.where("size > 1").mapInPandas(_homes, "part int, places binary")
-    named = rows.mapInPandas(_spelled(spark.sparkContext.broadcast(_bitmap(homes))), _SPELLED)
+    homes = frequent.where("size > 1").mapInPandas(_homes(filter_bits), "part int, places binary")
+    at_home = broadcast(_bitmap(homes, filter_bits))
+    named = rows.mapInPandas(_spelled(run, at_home), _SPELLED)
     return _ranked(frequent, stored(named, "phrases"), absorbed, top)
 
 
@@ -131,11 +139,11 @@ def _lang_hash(langs) -> np.ndarray:
     return tx.Rolling((c := tx.code_points(list(langs)))[0]).hashes(c[1][:-1], c[1][1:])
 
 
-def _runs(batch: pd.DataFrame):
+def _runs(batch: pd.DataFrame, run: int):
     texts = batch["text"].tolist()
     names, which = np.unique(batch["lang"].to_numpy(str), return_inverse=True)
     hashes = _lang_hash(names)[which] if len(names) else np.zeros(0, np.uint64)
-    for a, b in tx.runs(texts, _RUN):
+    for a, b in tx.runs(texts, run):
         yield slice(a, b), _Words(texts[a:b], hashes[a:b]), names, which[a:b]
 
 
@@ -149,11 +157,11 @@ def _counted(marks: list[np.ndarray], n: int) -> pd.DataFrame:
     return dealt.deal(dest, {"mark": marks, "times": times.astype("<u4")})
 
 
-def _short(n: int):
+def _short(n: int, run: int):
     def count(batches):
         for batch in batches:
             shard = batch["shard"].to_numpy(np.uint64)
-            for cut, words, *_ in _runs(batch):
+            for cut, words, *_ in _runs(batch, run):
                 marks = []
                 for size, inside, value in words.phrases():
                     if size > 2:
@@ -165,12 +173,12 @@ def _short(n: int):
     return count
 
 
-def _long(n: int, frequent):
+def _long(n: int, run: int, frequent):
     def count(batches):
         bits = frequent.value
         for batch in batches:
             shard = batch["shard"].to_numpy(np.uint64)
-            for cut, words, *_ in _runs(batch):
+            for cut, words, *_ in _runs(batch, run):
                 marks, pair = [], None
                 for size, inside, value in words.phrases():
                     if size == 1:
@@ -187,7 +195,7 @@ def _long(n: int, frequent):
     return count
 
 
-def _mined(sent: DataFrame, lowered: np.ndarray) -> DataFrame:
+def _mined(sent: DataFrame, lowered: np.ndarray, bits: int) -> DataFrame:
     """What is frequent in a shard, as places in the bitmap: (overall, part, places), with or without
     regard to the shard."""
 
@@ -200,39 +208,43 @@ def _mined(sent: DataFrame, lowered: np.ndarray) -> DataFrame:
         marks = marks[sums >= lowered[(marks & _LOW).astype(int)]]
         out = []
         for overall, values in ((False, marks), (True, marks & ~_LOW)):
-            places = np.unique(_place(values))
-            packed = dealt.deal(places >> (_BITS - _SLICES), {"places": places.astype("<u4")})
-            out.append(packed.rename(columns={"dest": "part"}).assign(overall=overall))
+            out.append(_packed(values, bits).assign(overall=overall))
         return pd.concat(out)[["overall", "part", "places"]]
 
     if_any = sent.where("length(mark) > 0")
     return if_any.groupBy("dest").applyInPandas(add_up, "overall boolean, part int, places binary")
 
 
-def _place(marks: np.ndarray) -> np.ndarray:
-    return (tx.mix(marks * _ODD) >> np.uint64(64 - _BITS)).astype(np.int64)
+def _place(marks: np.ndarray, bits: int) -> np.ndarray:
+    return (tx.mix(marks * _ODD) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _bitmap(found: DataFrame) -> np.ndarray:
-    """2^_BITS bits, of places: each part is put together by a task, and 2^_SLICES parts of fixed
+def _packed(marks: np.ndarray, bits: int) -> pd.DataFrame:
+    places = np.unique(_place(marks, bits))
+    packed = dealt.deal(places >> (bits - _SLICES), {"places": places.astype("<u4")})
+    return packed.rename(columns={"dest": "part"})
+
+
+def _bitmap(found: DataFrame, bits: int) -> np.ndarray:
+    """2^bits bits, of places: each part is put together by a task, and 2^_SLICES parts of fixed
     size reach the driver."""
-    bits = 1 << (_BITS - _SLICES)
+    own = 1 << (bits - _SLICES)
 
     def part(rows: pd.DataFrame) -> pd.DataFrame:
-        have = np.zeros(bits, bool)
-        have[dealt.joined(rows["places"], "<u4") & (bits - 1)] = True
+        have = np.zeros(own, bool)
+        have[dealt.joined(rows["places"], "<u4") & (own - 1)] = True
         return pd.DataFrame({"part": rows["part"].iloc[:1], "bits": [np.packbits(have).tobytes()]})
 
     parts = found.groupBy("part").applyInPandas(part, "part int, bits binary").collect()
-    out = np.zeros((1 << _SLICES, bits // 8), np.uint8)
+    out = np.zeros((1 << _SLICES, own // 8), np.uint8)
     for row in parts:
         out[row["part"]] = np.frombuffer(row["bits"], np.uint8)
     return out.reshape(-1)
 
 
-def _has(bits: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    at = _place(marks)
-    return (bits[at >> 3] << (at & 7).astype(np.uint8)) & 0x80 != 0
+def _has(bitmap: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    at = _place(marks, len(bitmap).bit_length() + 2)
+    return (bitmap[at >> 3] << (at & 7).astype(np.uint8)) & 0x80 != 0
 
 
 # How often phrases occur in some texts, their numbers of words, and a home each: a part of the
@@ -240,7 +252,7 @@ def _has(bits: np.ndarray, marks: np.ndarray) -> np.ndarray:
 _COUNTED = "dest int, mark binary, times binary, size binary, home binary"
 
 
-def _candidates(n: int, every):
+def _candidates(n: int, run: int, held: int, every):
     def send(parts):
         size, mark, times, home = (np.concatenate(x) for x in zip(*parts))
         order, begins = dealt.same(size, mark)
@@ -253,7 +265,7 @@ def _candidates(n: int, every):
     def count(batches):
         bits, parts = every.value, []
         for batch in batches:
-            for cut, words, names, which in _runs(batch):
+            for cut, words, names, which in _runs(batch, run):
                 home = batch["home"].to_numpy(np.uint8)[cut]
                 for size, inside, value in words.phrases():
                     at = np.flatnonzero(inside & _has(bits, value & ~_LOW))
@@ -263,7 +275,7 @@ def _candidates(n: int, every):
                 langs, times = np.unique(which[words.text], return_counts=True)
                 none = np.zeros(len(langs), "<u1")
                 parts.append((none, _lang_hash(names[langs]), times, none))
-                if sum(len(part[0]) for part in parts) >= _HELD:
+                if sum(len(part[0]) for part in parts) >= held:
                     yield send(parts)
                     parts = []
         if parts:
@@ -297,12 +309,13 @@ def _at_home(marks: np.ndarray, home: np.ndarray) -> np.ndarray:
     return tx.mix(marks + (home.astype(np.uint64) + np.uint64(1)) * _ODD)
 
 
-def _homes(batches):
-    for batch in batches:
-        marks = batch["mark"].to_numpy(np.int64).view(np.uint64)
-        places = np.unique(_place(_at_home(marks, batch["home"].to_numpy())))
-        packed = dealt.deal(places >> (_BITS - _SLICES), {"places": places.astype("<u4")})
-        yield packed.rename(columns={"dest": "part"})
+def _homes(bits: int):
+    def pack(batches):
+        for batch in batches:
+            marks = batch["mark"].to_numpy(np.int64).view(np.uint64)
+            yield _packed(_at_home(marks, batch["home"].to_numpy()), bits)
+
+    return pack
 
 
 # A frequent phrase's words, and the hashes of its parts: up to and from each cut, and shorter
@@ -313,13 +326,13 @@ _SPELLED = (
 )
 
 
-def _spelled(frequent):
+def _spelled(run: int, frequent):
     """Frequent phrases as found in their homes, some more than once; chance hits among them."""
 
     def spell(batches):
         bits = frequent.value
         for batch in batches:
-            for cut, words, names, which in _runs(batch):
+            for cut, words, names, which in _runs(batch, run):
                 home = batch["home"].to_numpy(np.uint8)[cut]
                 for size, inside, value in words.phrases():
                     if size == 1:
