@@ -33,6 +33,47 @@ SELECT d.doc_id, d.size, a.source_size, a.target,
 FROM d JOIN a ON d.source IS NOT DISTINCT FROM a.source AND d.point = a.point
 """
 
+OP6 = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
+u AS (
+  SELECT * FROM v
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(x) > 0 AND list_dot_product(x, x) > 0
+    AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+l AS (
+  SELECT a.r AS a, b.r AS b FROM u AS a JOIN u AS b
+    ON a.label = b.label AND a.r <> b.r AND len(a.x) = len(b.x)
+  WHERE list_dot_product(a.x, b.x)
+        >= 0.98::DOUBLE * sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x))),
+w AS (SELECT r, r AS o FROM v UNION SELECT w.r, l.b FROM w JOIN l ON w.o = l.a),
+c AS (SELECT w.r, min(vec_id) AS component_id FROM w JOIN v ON v.r = w.o GROUP BY w.r),
+n AS (SELECT a AS r, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id,
+       vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN c USING (r) LEFT JOIN n USING (r)
+"""
+
+OP7 = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT r, array_to_string(words[i : i + 4], ' ') AS shingle
+  FROM (SELECT r, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM d
+        WHERE len(words) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS shared FROM s AS a JOIN s AS b USING (shingle)
+      WHERE a.r <> b.r GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n AS x ON x.r = a JOIN n AS y ON y.r = b
+      WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+w AS (SELECT r, r AS o FROM d UNION SELECT w.r, l.b FROM w JOIN l ON w.o = l.a),
+c AS (SELECT w.r, min(doc_id) AS component_id FROM w JOIN d ON d.r = w.o GROUP BY w.r)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id,
+       doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN c USING (r) LEFT JOIN n USING (r)
+"""
+
 OP10 = """
 WITH d AS (
   SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
@@ -135,6 +176,8 @@ FROM t LEFT JOIN k USING (r) GROUP BY t.r, t.doc_id, t.words
 
 ORACLE = {
     "op1_source_mix": OP1,
+    "op6_vector_links": OP6,
+    "op7_near_duplicates": OP7,
     "op10_extendible_shards": OP10,
     "op11_phrase_collocations": OP11,
     "op12_lexical_search": OP12,
