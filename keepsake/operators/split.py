@@ -10,9 +10,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import UserDefinedType
+from pyspark.sql.types import StructField, UserDefinedType
 
 from keepsake.constants import SHARE_QUARTER
 from keepsake.functions.cells import column
@@ -48,8 +50,8 @@ def split_exact(
     Rows are never sorted as a whole. Passes over the key columns count hashes by leading digits
     and narrow down to the last hash that belongs in the test part; the split is then one
     comparison per row. Where several rows share that last key, they are told apart by a hash of
-    the whole row. Only the copies of one row, equal in every column, can end up on both sides: as
-    many of them as the size asks for.
+    the whole row, vectors as their elements. Only the copies of one row, equal in every column, can
+    end up on both sides: as many of them as the size asks for.
     """
     first = key_hash(key, seed)
     hashes = df.select(first.alias("hash"))
@@ -59,8 +61,7 @@ def split_exact(
     if missing == 0:
         test = first <= F.lit(last)
         return df.where(~test), df.where(test)
-    plain = [f.name for f in df.schema if not isinstance(f.dataType, UserDefinedType)]
-    second = F.md5(F.to_json(F.struct(*[column(c) for c in plain])))
+    second = F.md5(F.to_json(F.struct(*[_hashable(f) for f in df.schema])))
     at_last = first == F.lit(last)
     _, last_row, copies = _smallest(df.where(at_last).select(second.alias("hash")),
                                     lambda _: missing)
@@ -71,12 +72,19 @@ def split_exact(
     tied = at_last & (second == F.lit(last_row))
     equal = df.where(tied)
     train, test = df.where(~below & ~tied), df.where(below)
-    if len(plain) < len(df.columns):  # equal but for columns that have no hash
-        return train.unionAll(equal.offset(copies)), test.unionAll(equal.limit(copies))
     rest = equal.count() - copies
     return train.unionAll(_repeat(equal, rest)), test.unionAll(_repeat(equal, copies))
 
 
+def _hashable(field: StructField) -> Column:
+    """A column as JSON can hold it: vectors as arrays, so that equal ones are equal in any form."""
+    if isinstance(field.dataType, VectorUDT):
+        return vector_to_array(column(field.name)).alias(field.name)
+    if isinstance(field.dataType, UserDefinedType):
+        raise ValueError(f"rows that tie can't be told apart by {field.name}; leave it out")
+    return column(field.name)
+
+
 def _repeat(equal: DataFrame, times: int) -> DataFrame:
     """One of the equal rows, so many times, made in as many tasks as a shuffle has."""
     if times == 0:

@@ -89,3 +89,17 @@ def test_no_shuffle(spark):
     for divide in (sp.split, sp.split_exact):
         for part in divide(spark.range(100), ["id"], 0.2):
             assert "Exchange" not in part._jdf.queryExecution().executedPlan().toString()
+
+
+def test_exact_split_of_tied_rows_with_vectors(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(1, Vectors.dense([1.0, float(i % 3)])) for i in range(30)]
+    rows += [(1, Vectors.sparse(2, [0], [1.0]))] * 10  # equal to every third dense one
+    df = spark.createDataFrame(rows, ["k", "v"]).repartition(6)
+    train, test = sp.split_exact(df, ["k"], 0.3)
+    values = lambda t: sorted(tuple(r.v.toArray()) for r in t.collect())
+    assert test.count() == 12 and train.count() == 28
+    assert sorted(values(train) + values(test)) == values(df)
+    again = sp.split_exact(df.repartition(2), ["k"], 0.3)
+    assert [values(t) for t in again] == [values(train), values(test)]
