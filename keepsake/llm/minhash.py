@@ -327,18 +327,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         joined = second.union(roots.toDF("a", "b"))
         roots = stored(components(joined), "roots")
     root = F.coalesce("root", "class")
-    placed = rows.select("key", "class", "n_shingles").join(
+    placed = worded.select("key", "class", "n_shingles").join(
         roots.toDF("class", "root"), "class", "left"
     ).select("key", "class", "n_shingles", root.alias("root"))
-    least = placed.where("n_shingles > 0").groupBy("root").agg(F.min("key").alias("least"))
-    # Rows without words need no component: they get a root of their own that none has.
-    placed = placed.withColumn("root", F.when(F.col("n_shingles") > 0, F.col("root")))
-    out = placed.join(least, "root", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("key"))
-    return out.select(
-        "key", "class", "n_shingles", component.alias("component_id"),
-        component.eqNullSafe(F.col("key")).alias("kept"),
-    )
+    least = placed.groupBy("root").agg(F.min("key").alias("component_id"))
+    columns = ["key", "class", "n_shingles", "component_id"]
+    # Rows without words need no component, and no join in which they would all meet.
+    wordless = rows.where("n_shingles = 0").withColumn("component_id", F.col("key"))
+    out = placed.join(least, "root").select(*columns).union(wordless.select(*columns))
+    return out.withColumn("kept", F.col("component_id").eqNullSafe(F.col("key")))
 
 
 def representatives(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
