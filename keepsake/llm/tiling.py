@@ -182,8 +182,12 @@ def _tile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
-def tiled_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(key, row, item, n_tiles, covered, coverage) of every document and item with a shared seed.
+def tiled_pairs(docs: DataFrame, benchmark: DataFrame, least: float = 0.0) -> DataFrame:
+    """(key, row, item, n_tiles, covered, coverage) of every document and item with a shared seed;
+    of those that can't reach the coverage `least`, some are left out.
+
+    Every five words in a row of a tile are a shared seed, so tiles cover at most five words for each
+    place of the item that begins one. Pairs are counted by that before any text is joined to them.
 
     key is the doc_id and item the item_id, as texts; row numbers a document's text, by its digest.
     Words are lower-cased (A-Z) runs without white space. An item with fewer than five words has one
@@ -211,10 +215,16 @@ def tiled_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ).where("text is not null")
     hit = texts.mapInPandas(_hits(bitmap, short), "key string, text string, seeds array<long>")
     hit = stored(hit.withColumn("row", _row(F.col("key"), F.col("text"))), "hits")
-    found = hit.select("row", F.explode("seeds").alias("seed")).join(
-        seeds.select("item", "seed").distinct(), "seed"
+    places = seeds.groupBy("item", "seed").agg(
+        F.count("*").alias("places"), F.max("n_words").alias("n_words")
+    )
+    found = hit.select("row", F.explode("seeds").alias("seed")).distinct().join(places, "seed")
+    pairs = (
+        found.groupBy("row", "item")
+        .agg(F.sum("places").alias("places"), F.max("n_words").alias("n_words"))
+        .where(SEED_WORDS * F.col("places") + 1e-6 >= least * F.col("n_words"))
+        .select("row", "item")
     )
-    pairs = found.select("row", "item").distinct()
     once = hit.dropDuplicates(["row"]).select("row", "key", "text")
     joined = pairs.join(once.select("row", "text"), "row").join(items, "item")
     schema = "row string, item string, n_tiles long, covered long, coverage double"
@@ -229,7 +239,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     to `coverage` or more: the item with the highest coverage, the first by id among ties, and the
     number of such items.
     """
-    pairs = tiled_pairs(docs, benchmark).where(F.col("coverage") >= coverage)
+    pairs = tiled_pairs(docs, benchmark, coverage).where(F.col("coverage") >= coverage)
     best = F.min(F.struct((-F.col("coverage")).alias("least"), F.length("item").alias("size"),
                           "item", "coverage", "n_tiles"))
     return (
@@ -249,7 +259,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVE
     def tag(key: Column, row: Column) -> Column:
         return F.coalesce(F.concat(F.lit("id "), key), F.concat(F.lit("text "), row))
 
-    found = tiled_pairs(docs, benchmark).where(F.col("coverage") >= coverage)
+    found = tiled_pairs(docs, benchmark, coverage).where(F.col("coverage") >= coverage)
     gone = found.select(tag(F.col("key"), F.col("row")).alias("tag")).distinct()
     gone = stored(gone, "contaminated")
     key, text = docs["doc_id"].cast("string"), docs["text"].cast("string")
