@@ -35,7 +35,8 @@ _HEX = re.compile(r"[0-9a-f]{%d,}" % _HEX_LEAST)
 LEAST_LENGTH = 20
 MOST_CHARACTERS_PER_TOKEN = 2.1
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_LENGTH)
-_REMEMBERED = 100_000
+# How many candidates a task remembers the answers of at most, and the longest of them.
+_REMEMBERED, _LONGEST = 100_000, 64
 
 _DIGEST_LENGTHS = {32, 40, 48, 56, 64, 96, 128}
 _IS_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
@@ -105,9 +106,11 @@ def added_spans(text: str, n_tokens: Callable[[str], int], known: dict) -> list:
         s = m.group()
         answer = known.get(s)
         if answer is None:
-            if len(known) >= _REMEMBERED:
-                known.clear()
-            answer = known[s] = is_random(s, n_tokens)
+            answer = is_random(s, n_tokens)
+            if len(s) <= _LONGEST:
+                if len(known) >= _REMEMBERED:
+                    known.clear()
+                known[s] = answer
         if answer:
             out.append((m.start(), 3, m.end()))
     return out
@@ -139,8 +142,8 @@ def scan(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     spans lists kind:start:end, in code points with the end exclusive, by start and then kind, for
     the base patterns and for the kind `token` that the efficiency test adds; base_sha256 is the
     digest of the base patterns' list. A null or empty text has no spans. Rows are scanned one by
-    one, so repeats are found in each, and an empty table gives an empty one. Other columns are not
-    looked at. vocabulary is a tiktoken rank file that every executor has, pattern its split.
+    one, so repeats are found in each, and an empty table gives an empty one; a text is scanned as a
+    whole, whatever its length. Other columns are not looked at. vocabulary is a tiktoken rank file that every executor has, pattern its split.
     """
     rows = docs.select(
         F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("key"),
