@@ -131,14 +131,15 @@ def shard_rows(docs: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, max_bytes: int = MAX_BYTES) -> None:
     """Write all columns of `docs`, one folder per shard, below `path`.
 
-    Texts move once, to the task of their shard; the directory is joined as a small table.
+    Texts move once, to the task of their shard; the directory is joined as a small table. It is
+    made from a stored table of hashes and sizes, so each level of it reads no text.
     """
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         n_bytes(docs["text"]).alias("n_bytes"),
         row_hash(docs["doc_id"], docs["text"]).alias("hash"),
     )
-    entries = directory(rows.select("hash", "n_bytes"), max_bytes)
+    entries = directory(stored(rows.select("hash", "n_bytes"), "hashes"), max_bytes)
     name = F.concat_ws("-", F.lpad(F.bin("prefix"), F.col("depth"), F.lit("0")), "depth", "part")
     shard = fresh(docs, "_shard")
     placed = assign(rows, entries, max_bytes).select("row.*", name.alias(shard))
