@@ -27,9 +27,9 @@ from keepsake.llm.wavelet import WaveletMatrix
 BLOCK_TOKENS = 1 << 20
 END_ID = 0
 # How many pieces of text and ids a task remembers at most, and the longest piece.
-_PIECES, _IDS, _LONGEST = 1 << 21, 1 << 23, 64
+_PIECES, _IDS, _LONGEST = 1 << 20, 1 << 22, 64
 # Characters of text that are cut into pieces at once.
-_RUN = 1 << 21
+_RUN = 1 << 20
 # A blank that is neither after nor before a printing character: cutting there changes the tokens.
 _NO_CUT = re.compile(r"\s (?:\s|\Z)")
 _BLANK, _LETTER, _DIGIT, _MARK, _FEED, _OTHER = range(6)
