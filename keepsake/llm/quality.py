@@ -30,6 +30,8 @@ SAMPLE_ROWS = 3000
 STEPS = 24_000
 RATE = 1.0
 THRESHOLD = 0.3
+# Characters of one text that are worked on at once.
+PIECE = 1 << 19
 # Stands for the end of a text, so that an empty text has a feature as well.
 _END = 0
 _REPEAT = 1
@@ -50,21 +52,82 @@ def _features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     yield (words % np.uint64(BUCKETS)).astype(np.int64), owner[starts]
     again = starts[1:][(words[1:] == words[:-1]) & (owner[starts[1:]] == owner[starts[:-1]])]
     yield np.full(len(again), _REPEAT), owner[again]
+    for bucket, at in _grams(roll, gap, ~last):
+        yield bucket, owner[at]
+
+
+def _grams(roll: tx.Rolling, gap: np.ndarray, begin: np.ndarray) -> Iterator[tuple]:
+    """(bucket, place) arrays: the character n-grams from the places where one may begin, none of
+    them with both borders of a word, which has a feature of its own."""
     for n in GRAMS:
-        m = len(codes) - n + 1
+        m = len(gap) - n + 1
         if m <= 0:
             continue
-        good = ~last[:m] & ~(gap[:m] & gap[n - 1 :])
+        good = begin[:m] & ~(gap[:m] & gap[n - 1 :])
         for k in range(1, n - 1):
             good &= ~gap[k : k + m]
         at = np.flatnonzero(good)
-        yield (roll.grams(n)[at] % np.uint64(BUCKETS)).astype(np.int64), owner[at]
+        yield (roll.grams(n)[at] % np.uint64(BUCKETS)).astype(np.int64), at
 
 
-def counted_features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+def _pieces(text: str, size: int) -> Iterator[np.ndarray]:
+    """The buckets of one text's features, from `size` characters at once.
+
+    A piece sees as much of the next one as an n-gram may need; a word that goes on in the next
+    piece is hashed on there. So memory doesn't grow with the text.
+    """
+    text, tail = f" {text} ", max(GRAMS) - 1
+    part, length = 0, 0
+    before = np.zeros(0, np.uint64)
+    yield np.array([_END])
+    for a in range(0, len(text), size):
+        codes, _ = tx.code_points([text[a : a + size + tail]])
+        codes = codes[:-1]
+        gap = tx.is_break(codes)
+        roll = tx.Rolling(np.where(gap, np.uint32(32), codes))
+        starts, ends = tx.spans(~gap[:size])
+        sums, lengths = roll.sums(starts, ends), ends - starts
+        if length and len(starts) and starts[0] == 0:
+            sums[0] = tx.joined(part, length, int(sums[0]))
+            lengths[0] += length
+        elif length:
+            sums = np.concatenate((np.array([part], np.uint64), sums))
+            lengths = np.concatenate(([length], lengths))
+        part = length = 0
+        if len(ends) and ends[-1] == size:
+            part, length = int(sums[-1]), int(lengths[-1])
+            sums = sums[:-1]
+        words = tx.mix(sums)
+        yield (words % np.uint64(BUCKETS)).astype(np.int64)
+        words = np.concatenate((before, words))
+        yield np.full(np.count_nonzero(words[1:] == words[:-1]), _REPEAT)
+        before = words[-1:]
+        for bucket, _ in _grams(roll, gap, np.arange(len(codes)) < size):
+            yield bucket
+
+
+def _parts(texts: list[str], piece: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """_features of a run of texts, in pieces where it is one long text."""
+    if len(texts) > 1 or len(texts[0]) <= piece:
+        yield from _features(texts)
+        return
+    for bucket in _pieces(texts[0], piece):
+        yield bucket, np.zeros(len(bucket), np.int64)
+
+
+def counted_features(
+    texts: list[str], piece: int = PIECE
+) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each text its distinct buckets and how often each occurs."""
     out = []
-    for a, b in tx.runs(texts):
+    for a, b in tx.runs(texts, piece):
+        if b - a == 1:
+            total = np.zeros(BUCKETS, np.int64)
+            for bucket, _ in _parts(texts[a:b], piece):
+                total += np.bincount(bucket, minlength=BUCKETS)
+            at = np.flatnonzero(total)
+            out.append((at, total[at]))
+            continue
         parts = list(_features(texts[a:b]))
         key = np.concatenate([o for _, o in parts]) * BUCKETS + np.concatenate([h for h, _ in parts])
         key, n = np.unique(key, return_counts=True)
@@ -81,25 +144,26 @@ class SubwordClassifier:
     odds: np.ndarray
     bias: float
 
-    def score(self, texts: list[str]) -> np.ndarray:
-        """Probability of class 1 for each text."""
+    def score(self, texts: list[str], piece: int = PIECE) -> np.ndarray:
+        """Probability of class 1 for each text; `piece` characters of a long one at once."""
         out = np.empty(len(texts))
-        for a, b in tx.runs(texts):
+        for a, b in tx.runs(texts, piece):
             total, count = np.zeros(b - a), np.zeros(b - a)
-            for bucket, owner in _features(texts[a:b]):
+            for bucket, owner in _parts(texts[a:b], piece):
                 total += np.bincount(owner, self.odds[bucket], b - a)
                 count += np.bincount(owner, minlength=b - a)
             out[a:b] = total / count + self.bias
         return 1 / (1 + np.exp(-out))
 
 
-def fit(
+def train(
     examples: list[tuple[np.ndarray, np.ndarray, int]],
     steps: int = STEPS,
     rate: float = RATE,
     seed: int = 1,
-) -> SubwordClassifier:
-    """Fit to (buckets, counts, class 0 or 1). Without examples every text scores one half."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The vectors of all buckets, and the softmax layer and its bias, fitted to (buckets, counts,
+    class 0 or 1)."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS))
     layer, bias = np.zeros((2, DIMENSIONS)), np.zeros(2)
@@ -119,6 +183,13 @@ def fit(
             layer -= now * np.outer(error, mean)
             bias -= now * error
             vectors[bucket] -= now * np.outer(share, back)
+    return vectors, layer, bias
+
+
+def fit(examples: list[tuple[np.ndarray, np.ndarray, int]], **settings) -> SubwordClassifier:
+    """`train`, with the vectors folded into one number each. Without examples every text scores
+    one half."""
+    vectors, layer, bias = train(examples, **settings)
     odds = vectors @ (layer[1] - layer[0])
     return SubwordClassifier(odds.astype(np.float32), float(bias[1] - bias[0]))
 
@@ -184,7 +255,10 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     """(key, held_out, score, predicted) for every row; key is its doc_id.
 
     Learns from labelled rows that are not held out, looks at nothing but the whole text for a
-    score, and predicts 1 if the score is at least the threshold. An empty table gives an empty one.
+    score, and predicts 1 if the score is at least the threshold. A null text counts as an empty
+    one, which has a score too; equal texts have equal scores, so repeated rows do; a very long text
+    is read piece by piece. Without labelled rows every score is one half. An empty table gives an
+    empty one; other columns are not looked at.
     """
     model = fit_sample(docs, labels)
     return docs.select(
@@ -195,6 +269,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows whose score is at least the threshold, with all of their columns."""
+    """The rows whose score is at least the threshold, with all of their columns, whatever their
+    names; otherwise as `classify`."""
     model = fit_sample(docs, labels)
     return docs.where(score_column(model, docs["text"]) >= threshold)

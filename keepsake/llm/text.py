@@ -74,8 +74,12 @@ class Rolling:
         np.cumsum(mix(codes.astype(np.uint64) + np.uint64(1)) * powers[: len(codes)],
                   out=self._sums[1:])
 
+    def sums(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """What `hashes` mixes; the sum of a substring follows from those of its parts (`joined`)."""
+        return (self._sums[ends] - self._sums[starts]) * self._inverses[starts]
+
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self._sums[ends] - self._sums[starts]) * self._inverses[starts])
+        return mix(self.sums(starts, ends))
 
     def grams(self, n: int) -> np.ndarray:
         """The hash of the n characters from every place on; the last n - 1 places have none."""
@@ -83,6 +87,11 @@ class Rolling:
         return mix((self._sums[n:] - self._sums[:last]) * self._inverses[:last] + np.uint64(n))
 
 
+def joined(left: int, length: int, right: int) -> int:
+    """The sum of a substring whose first `length` characters have the sum `left`, the rest `right`."""
+    return (left + pow(int(_BASE), length, 1 << 64) * right) % (1 << 64)
+
+
 def spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where maximal runs of True start and end (end exclusive)."""
     edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))

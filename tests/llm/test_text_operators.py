@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import string
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -14,6 +15,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from keepsake.llm import crf, quality, secret_scan, tokens
+from keepsake.llm import text as tx
 from keepsake.llm.tables import read
 from keepsake.llm.wavelet import WaveletMatrix
 
@@ -66,6 +68,113 @@ def test_quality_of_odd_rows(spark, odd, empty):
     assert quality.accepted(odd, labels).columns == odd.columns
 
 
+def _plain_buckets(text):
+    """One bucket per feature, spelled out: text, words, repeated words, n-grams of bordered words."""
+    of = lambda s: tx.Rolling(np.frombuffer(s.encode("utf-32-le"), np.uint32))
+    ends = lambda s: (np.array([0]), np.array([len(s)]))
+    found = re.findall(r"[^\x20\x09-\x0D]+", text)
+    out = [0] + [int(of(w).hashes(*ends(w))[0]) % quality.BUCKETS for w in found]
+    out += [1 for a, b in zip(found, found[1:]) if a == b]
+    for w in found:
+        w = f" {w} "
+        for n in quality.GRAMS:
+            grams = [w[i : i + n] for i in range(len(w) - n + 1)]
+            # A whole word between both of its borders is the word's own feature.
+            out += [int(of(g).grams(n)[0]) % quality.BUCKETS for g in grams if g != w]
+    return out
+
+
+QUALITY_TEXTS = ["a good text text of words", "", "bad bad  bad\t bad", "é 你好 x", "one", " lead and trail "]
+
+
+def test_quality_against_plain_mean_vectors():
+    """Features, gradient steps and scores as their definition says, one vector at a time."""
+    sample = [(_plain_buckets(t), i % 2) for i, t in enumerate(QUALITY_TEXTS)]
+    for (found, counts), (want, _) in zip(quality.counted_features(QUALITY_TEXTS), sample):
+        assert np.repeat(found, counts).tolist() == sorted(want)
+    examples = [(b, n.astype(float), i % 2)
+                for i, (b, n) in enumerate(quality.counted_features(QUALITY_TEXTS))]
+    got = quality.train(examples, steps=20, rate=0.5, seed=3)
+
+    rng = np.random.default_rng(3)
+    d = quality.DIMENSIONS
+    vectors = rng.uniform(-1 / d, 1 / d, (quality.BUCKETS, d))
+    layer, bias, step = np.zeros((2, d)), np.zeros(2), 0
+    softmax = lambda x: np.exp(x) / np.exp(x).sum()
+    while step < 20:
+        for i in rng.permutation(len(sample))[: 20 - step]:
+            buckets, label = sample[i]
+            now = 0.5 * (1 - step / 20)
+            mean = np.mean([vectors[b] for b in buckets], axis=0)
+            error = softmax(layer @ mean + bias) - np.eye(2)[label]
+            slope = error @ layer / len(buckets)
+            layer, bias = layer - now * np.outer(error, mean), bias - now * error
+            for b in buckets:
+                vectors[b] = vectors[b] - now * slope
+            step += 1
+    for a, b in zip(got, (vectors, layer, bias)):
+        assert np.allclose(a, b, atol=1e-12)
+    model = quality.fit(examples, steps=20, rate=0.5, seed=3)
+    texts = [*QUALITY_TEXTS, "never seen words"]
+    for score, t in zip(model.score(texts), texts):
+        mean = np.mean([vectors[b] for b in _plain_buckets(t)], axis=0)
+        assert abs(score - softmax(layer @ mean + bias)[1]) < 1e-6
+
+
+def test_quality_query_against_plain_mean_vectors(spark):
+    """The query's own rows, from labelled rows that are not held out, by the definition alone."""
+    draw = random.Random(4)
+    pool = {1: ["river", "stone", "light", "Äpfel"], 0: ["buy", "now", "now", "click"]}
+    rows = [(i, " ".join(draw.choices(pool[i % 2], k=draw.randrange(1, 12)))) for i in range(40)]
+    rows += [(50, None), (51, ""), (None, "river now")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    got = quality.classify(docs, labels).collect()
+    order = {r.doc_id: r.place for r in labels.selectExpr(
+        "doc_id", "xxhash64(cast(doc_id as string)) as place").collect()}
+    known = sorted((i for i in range(30) if crc(i, 5)), key=order.get)
+    vectors, layer, bias = quality.train(
+        [(*_counted(_plain_buckets(rows[i][1])), i % 2) for i in known]
+    )
+    assert sorted((r.key is None, r.key or 0) for r in got) == sorted(
+        (k is None, k or 0) for k, _ in rows)
+    for r in got:
+        mean = vectors[_plain_buckets(dict(rows)[r.key] or "")].mean(axis=0)
+        logits = layer @ mean + bias
+        assert abs(r.score - 1 / (1 + np.exp(logits[0] - logits[1]))) < 1e-4
+        assert r.predicted == (r.score >= 0.3)
+
+
+def _counted(buckets):
+    found, n = np.unique(buckets, return_counts=True)
+    return found, n.astype(float)
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 50])
+def test_quality_of_a_text_in_pieces(piece):
+    draw = random.Random(piece)
+    texts = ["".join(draw.choices("ab é你  \n", k=n)) for n in range(60)] + QUALITY_TEXTS + ["x" * 99]
+    for (a, n), (b, m) in zip(quality.counted_features(texts, piece), quality.counted_features(texts)):
+        assert a.tolist() == b.tolist() and n.tolist() == m.tolist()
+    model = quality.fit([(b, n.astype(float), i % 2)
+                         for i, (b, n) in enumerate(quality.counted_features(texts))], steps=60)
+    assert np.allclose(model.score(texts, piece), model.score(texts), atol=1e-6)
+
+
+def test_quality_of_ten_million_characters():
+    """Memory goes with the piece: five times the text takes about as much beside it."""
+    model = quality.SubwordClassifier(np.zeros(quality.BUCKETS, np.float32), 0.0)
+    model.score(["word " * 200_000])
+    peaks = []
+    for n in (400_000, 2_000_000):
+        text = "word " * n
+        tracemalloc.start()
+        model.score([text])
+        peaks.append(tracemalloc.get_traced_memory()[1] - len(text))
+        tracemalloc.stop()
+    assert peaks[1] < 1.2 * peaks[0]
+
+
 def test_forward_backward_is_exact():
     rng = np.random.default_rng(0)
     emissions, step = rng.normal(size=(300, 4)).astype(np.float32), rng.normal(size=(4, 4))
