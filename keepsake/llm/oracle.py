@@ -33,6 +33,41 @@ SELECT d.doc_id, d.size, a.source_size, a.target,
 FROM d JOIN a ON d.source IS NOT DISTINCT FROM a.source AND d.point = a.point
 """
 
+OP3 = r"""
+WITH RECURSIVE g AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (
+  SELECT *, 5 + len(regexp_extract_all(text, '[0-9A-Za-z_]+|[^0-9A-Za-z_\x09-\x0D\x20]')) AS tokens,
+         24 + length(regexp_replace(replace(replace(role, '\', '\-'), chr(10), '\n'),
+                '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g'))
+            + length(regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g')) AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM g),
+c AS (
+  SELECT conv_id, count(*) AS n, list(tokens ORDER BY place) AS tokens, list(chars ORDER BY place) AS chars,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY place) AS turns,
+         coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '') AS learned,
+         max(CASE WHEN place = 1 AND role = 'system' THEN 1 ELSE 0 END) AS sys
+  FROM t GROUP BY conv_id),
+-- No conversation of the tables is longer than a block of 256 turns. A window begins after turn s;
+-- each one but the first repeats the system turn and up to two turns of 256 tokens together.
+r AS (
+  SELECT *, 0 AS i, 0 AS s, 0 AS again FROM c
+  UNION ALL
+  SELECT conv_id, n, tokens, chars, turns, learned, sys, i + 1, CASE WHEN cut THEN i ELSE s END,
+         again + CASE WHEN NOT cut THEN 0 ELSE sys * chars[1]
+           + CASE WHEN i - sys >= 2 AND tokens[i] + tokens[i - 1] <= 256 THEN chars[i] + chars[i - 1]
+                  WHEN i - sys >= 1 AND tokens[i] <= 256 THEN chars[i] ELSE 0 END END
+  FROM (SELECT *, i > s AND list_sum(tokens[s + 1 : i + 1])
+                            > greatest(1024 - sys * tokens[1] - 256, 1) AS cut
+        FROM r WHERE i < n))
+SELECT conv_id, n AS n_turns, sha256(turns) AS turns_sha256, length(learned)::BIGINT AS loss_chars,
+       sha256(learned) AS loss_sha256, (list_sum(chars) + again)::BIGINT AS formatted_chars
+FROM r WHERE i = n
+"""
+
 OP6 = """
 WITH RECURSIVE v AS (
   SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
@@ -81,10 +116,11 @@ WITH d AS (
   FROM documents),
 k AS (SELECT d.*, depth, (hash >> (52 - depth))::BIGINT AS prefix
       FROM d, (SELECT unnest(range(0, 53))::INTEGER AS depth)),
-s AS (SELECT depth, prefix, sum(n_bytes)::BIGINT AS shard_bytes FROM k GROUP BY depth, prefix),
+s AS (SELECT depth, prefix, sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS n_rows
+      FROM k GROUP BY depth, prefix),
 f AS (SELECT k.*, shard_bytes,
              row_number() OVER (PARTITION BY hash, doc_id, n_bytes, depth) AS copy
-      FROM k JOIN s USING (depth, prefix) WHERE shard_bytes <= 1048576)
+      FROM k JOIN s USING (depth, prefix) WHERE shard_bytes <= 1048576 AND n_rows <= 65536)
 -- No bucket of the table stays over the limit at 52 bits, so there is one part.
 SELECT doc_id, n_bytes, depth, prefix, 0::BIGINT AS part, shard_bytes FROM f
 QUALIFY row_number() OVER (PARTITION BY hash, doc_id, n_bytes, copy ORDER BY depth) = 1
@@ -176,6 +212,7 @@ FROM t LEFT JOIN k USING (r) GROUP BY t.r, t.doc_id, t.words
 
 ORACLE = {
     "op1_source_mix": OP1,
+    "op3_chat_windows": OP3,
     "op6_vector_links": OP6,
     "op7_near_duplicates": OP7,
     "op10_extendible_shards": OP10,

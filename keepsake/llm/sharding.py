@@ -3,7 +3,11 @@
 A row's hash, 52 bits of the MD5 of its id and its text's digest, gives its bucket: all rows whose
 hash begins with the same bits. Buckets split on one bit more as long as they are over the byte
 limit, so the depth differs between buckets. Sizes are summed by leading bits before any shuffle,
-and only rows of buckets that are still too large are looked at again with more bits.
+and only rows of buckets that are still too large are looked at again with more bits. A limit of rows
+does the same for rows of few or no bytes, which never reach the limit of bytes.
+
+Rows with equal hashes, mostly copies of one row, cannot be split by bits. If they are over a limit
+they are numbered in chunks of 65,536 rows at most and dealt by number, so no task holds all copies.
 """
 
 from __future__ import annotations
@@ -19,9 +23,12 @@ from keepsake.llm.tables import fresh, stored
 
 BITS = 52
 MAX_BYTES = 1 << 20
+MAX_ROWS = 1 << 16
 # Bits beyond the expected depth that the first look takes, and that each further look adds.
 _SPARE = 4
 _STEP = 12
+# Bits of a row's number within its partition: rows of one chunk, at most, when copies are numbered.
+_CHUNK_BITS = 16
 
 
 def n_bytes(text: Column) -> Column:
@@ -35,7 +42,9 @@ def row_hash(doc_id: Column, text: Column) -> Column:
     return F.conv(F.substring(digest, 1, BITS // 4), 16, 10).cast("long")
 
 
-def directory(rows: DataFrame, max_bytes: int = MAX_BYTES) -> list[tuple[int, DataFrame, bool]]:
+def directory(
+    rows: DataFrame, max_bytes: int = MAX_BYTES, max_rows: int = MAX_ROWS
+) -> list[tuple[int, DataFrame, bool]]:
     """The directory of rows with `hash` and `n_bytes`: a list of (bits, cells, is_last).
 
     cells has (cell, depth, prefix, shard_bytes): rows whose hash begins with the `bits` bits of
@@ -43,18 +52,23 @@ def directory(rows: DataFrame, max_bytes: int = MAX_BYTES) -> list[tuple[int, Da
     bits and is continued by the next entry of the list; in the last entry, at 52 bits, its rows
     have equal hashes.
     """
-    total = rows.agg(F.sum("n_bytes")).first()[0] or 0
-    bits = min(BITS, max(0, math.ceil(math.log2(max(total / max_bytes, 1)))) + _SPARE)
+    n_rows, total = rows.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    most = max(total / max_bytes, n_rows / max_rows, 1)
+    bits = min(BITS, math.ceil(math.log2(most)) + _SPARE)
     done, found = 0, []
     while True:
         cell = F.shiftright("hash", BITS - bits)
-        cells = rows.groupBy(cell.alias("cell")).agg(F.sum("n_bytes").alias("bytes"))
+        cells = rows.groupBy(cell.alias("cell")).agg(
+            F.sum("n_bytes").alias("bytes"), F.count("*").alias("n")
+        )
         cells = stored(cells, "cells")
         depths = cells.withColumn("depth", F.explode(F.sequence(F.lit(done), F.lit(bits))))
         prefix = F.expr(f"shiftright(cell, {bits} - depth)")
         depths = depths.withColumn("prefix", prefix)
-        sizes = depths.groupBy("depth", "prefix").agg(F.sum("bytes").alias("shard_bytes"))
-        fitting = sizes.where(F.col("shard_bytes") <= max_bytes)
+        sizes = depths.groupBy("depth", "prefix").agg(
+            F.sum("bytes").alias("shard_bytes"), F.sum("n").alias("n")
+        )
+        fitting = sizes.where((F.col("shard_bytes") <= max_bytes) & (F.col("n") <= max_rows)).drop("n")
         leaf = depths.join(fitting, ["depth", "prefix"]).groupBy("cell").agg(
             F.min(F.struct("depth", "prefix", "shard_bytes")).alias("leaf")
         )
@@ -68,11 +82,16 @@ def directory(rows: DataFrame, max_bytes: int = MAX_BYTES) -> list[tuple[int, Da
         done, bits = bits + 1, min(BITS, bits + _STEP)
 
 
-def assign(rows: DataFrame, entries: list[tuple[int, DataFrame, bool]], max_bytes=MAX_BYTES):
+def assign(
+    rows: DataFrame,
+    entries: list[tuple[int, DataFrame, bool]],
+    max_bytes: int = MAX_BYTES,
+    max_rows: int = MAX_ROWS,
+) -> DataFrame:
     """Rows with `hash` and `n_bytes`, and any other columns, each with its shard.
 
     Adds depth, prefix, part and shard_bytes. part is 0, but for rows with equal hashes that are
-    together over the limit: they are dealt to several parts, each within the limit unless it is a
+    together over a limit: they are dealt to several parts, each within the limits unless it is a
     single row, for which shard_bytes is that of the part.
     """
     out = None
@@ -81,7 +100,7 @@ def assign(rows: DataFrame, entries: list[tuple[int, DataFrame, bool]], max_byte
         joined = rows.withColumn("cell", cell).join(table, "cell")
         placed = joined.where("depth is not null").withColumn("part", F.lit(0).cast("long"))
         if is_last:
-            placed = placed.unionByName(_parts(joined.where("depth is null"), max_bytes))
+            placed = placed.unionByName(_parts(joined.where("depth is null"), max_bytes, max_rows))
         placed = placed.drop("cell")
         out = placed if out is None else out.unionByName(placed)
         rows = rows.withColumn("cell", cell).join(
@@ -90,30 +109,55 @@ def assign(rows: DataFrame, entries: list[tuple[int, DataFrame, bool]], max_byte
     return out
 
 
-def _parts(rows: DataFrame, max_bytes: int) -> DataFrame:
-    """Rows with equal hashes: those over half the limit each alone, the others by running sums."""
-    half = max_bytes // 2
-    by_size = Window.partitionBy("hash", "heavy").orderBy("n_bytes")
-    ahead = F.sum("n_bytes").over(by_size.rowsBetween(Window.unboundedPreceding, 0))
-    start = F.floor((ahead - F.col("n_bytes")) / max(half, 1))
-    rows = rows.withColumn("heavy", F.col("n_bytes") > half)
-    part = F.when(F.col("heavy"), 2 * F.row_number().over(by_size) - 1).otherwise(2 * start)
-    rows = rows.withColumn("part", part.cast("long"))
-    own = F.sum("n_bytes").over(Window.partitionBy("hash", "part"))
+def _parts(rows: DataFrame, max_bytes: int, max_rows: int) -> DataFrame:
+    """Rows with equal hashes: those over half the limit each alone, the others by running sums.
+
+    Rows of one hash and size are numbered chunk by chunk, and counted on from the chunks before.
+    The rows are stored once, so that a repeated task finds the same numbers.
+    """
+    half = max(max_bytes // 2, 1)
+    # What a row takes of a part's half limit; rows of few bytes take a row's share of it.
+    weight = F.greatest("n_bytes", F.lit(-(-max_bytes // max_rows)))
+    tied = stored(rows.withColumn("number", F.monotonically_increasing_id()), "copies")
+    tied = tied.withColumn("chunk", F.shiftright("number", _CHUNK_BITS))
+    keys = ["hash", "n_bytes", "chunk"]
+    counts = tied.groupBy(*keys).agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("hash", "heavy").orderBy("n_bytes", "chunk")
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    heavy = weight > half
+    offsets = counts.withColumn("heavy", heavy).select(
+        *[F.col(k).alias(f"_{k}") for k in keys],
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("rows_ahead"),
+        F.coalesce(F.sum(F.col("n") * weight).over(earlier), F.lit(0)).alias("ahead"),
+    )
+    same = [F.col(k) == F.col(f"_{k}") for k in keys]
+    inside = F.row_number().over(Window.partitionBy(*keys).orderBy("number")) - 1
+    placed = tied.withColumn("inside", inside).join(offsets, same)
+    alone = 2 * (F.col("rows_ahead") + F.col("inside")) + 1
+    dealt = 2 * F.floor((F.col("ahead") + F.col("inside") * weight) / half)
+    placed = placed.withColumn("part", F.when(heavy, alone).otherwise(dealt).cast("long")).drop(
+        *[f"_{k}" for k in keys], "rows_ahead", "ahead", "inside", "number", "chunk"
+    )
+    own = placed.groupBy(F.col("hash").alias("_hash"), F.col("part").alias("_part")).agg(
+        F.sum("n_bytes").alias("own")
+    )
     return (
-        rows.withColumn("depth", F.lit(BITS))
+        placed.join(own, [F.col("hash") == F.col("_hash"), F.col("part") == F.col("_part")])
+        .withColumn("depth", F.lit(BITS))
         .withColumn("prefix", F.col("hash"))
-        .withColumn("shard_bytes", own)
-        .drop("heavy")
+        .withColumn("shard_bytes", F.col("own"))
+        .drop("_hash", "_part", "own")
     )
 
 
-def shard_rows(docs: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
+def shard_rows(
+    docs: DataFrame, max_bytes: int = MAX_BYTES, max_rows: int = MAX_ROWS
+) -> DataFrame:
     """(key, n_bytes, depth, prefix, part, shard_bytes) for every row; key is its doc_id.
 
     Rows that share (depth, prefix, part) are one shard. A null or empty text has no bytes. Repeated
-    rows have equal hashes and share a bucket. A row larger than the limit is a shard by itself. An
-    empty table gives an empty one; other columns are not looked at.
+    rows have equal hashes and share a bucket, in parts if they are over a limit together. A row
+    larger than the limit, however long, is a shard by itself. An empty table gives an empty one; other columns are not looked at.
     """
     rows = stored(
         docs.select(
@@ -123,12 +167,15 @@ def shard_rows(docs: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
         ),
         "hashes",
     )
-    return assign(rows, directory(rows, max_bytes), max_bytes).select(
+    entries = directory(rows, max_bytes, max_rows)
+    return assign(rows, entries, max_bytes, max_rows).select(
         "key", "n_bytes", "depth", "prefix", "part", "shard_bytes"
     )
 
 
-def write_shards(docs: DataFrame, path: str, max_bytes: int = MAX_BYTES) -> None:
+def write_shards(
+    docs: DataFrame, path: str, max_bytes: int = MAX_BYTES, max_rows: int = MAX_ROWS
+) -> None:
     """Write all columns of `docs`, one folder per shard, below `path`.
 
     Texts move once, to the task of their shard; the directory is joined as a small table. It is
@@ -139,10 +186,11 @@ def write_shards(docs: DataFrame, path: str, max_bytes: int = MAX_BYTES) -> None
         n_bytes(docs["text"]).alias("n_bytes"),
         row_hash(docs["doc_id"], docs["text"]).alias("hash"),
     )
-    entries = directory(stored(rows.select("hash", "n_bytes"), "hashes"), max_bytes)
+    hashes = stored(rows.select("hash", "n_bytes"), "hashes")
+    entries = directory(hashes, max_bytes, max_rows)
     name = F.concat_ws("-", F.lpad(F.bin("prefix"), F.col("depth"), F.lit("0")), "depth", "part")
     shard = fresh(docs, "_shard")
-    placed = assign(rows, entries, max_bytes).select("row.*", name.alias(shard))
+    placed = assign(rows, entries, max_bytes, max_rows).select("row.*", name.alias(shard))
     placed.repartition(shard).write.partitionBy(shard).parquet(path)
 
 

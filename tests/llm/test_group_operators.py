@@ -378,6 +378,27 @@ def test_shards(spark, limit, tmp_path):
         assert back.select("_shard").distinct().count() == len(held)
 
 
+def test_copies_and_rows_without_bytes_are_dealt_by_number(spark, monkeypatch):
+    """Also where chunks are small and the rows lie in many partitions; no window over one hash."""
+    monkeypatch.setattr(sharding, "_CHUNK_BITS", 3)
+    rows = [(None, "same text of 24 bytes ..")] * 700 + [(None, None)] * 500 + [(1, "")] * 90
+    rows += [(2, "x" * 300)] * 9 + [(3, "y" * 900)] * 5 + [(i, "other") for i in range(10, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(13)
+    found = sharding.shard_rows(docs, max_bytes=800, max_rows=40)
+    got = found.collect()
+    assert Counter((r.key, r.n_bytes) for r in got) == Counter((k, len(t or "")) for k, t in rows)
+    held = defaultdict(list)
+    for r in got:
+        held[r.depth, r.prefix, r.part].append(r)
+    for shard in held.values():
+        total = sum(r.n_bytes for r in shard)
+        assert {r.shard_bytes for r in shard} == {total}
+        assert len(shard) == 1 or (total <= 800 and len(shard) <= 40)
+    assert 700 * 24 // 800 < sum(any(r.n_bytes == 24 for r in s) for s in held.values()) < 60
+    fewer = sharding.shard_rows(docs.repartition(2), max_bytes=800, max_rows=40).collect()
+    assert Counter(got) == Counter(fewer)
+
+
 @pytest.mark.parametrize("limit", [3000, 10**6])
 def test_shards_read_back(spark, limit, tmp_path):
     rows = [(i, "ä" * (i % 50), "x") for i in range(2000)] + [(5000, None, "x"), (None, "x" * 3000, None)]
