@@ -56,3 +56,38 @@ def test_stages(spark, sf_dir):
     _, before, after = seen[4]
     assert after.count() == before.count()
     assert sorted(r.doc_id for r in after.collect()) == sorted(r.doc_id for r in before.collect())
+
+
+DOCUMENTS = [
+    (1, None, "en", "a"), (2, "", None, None), (3, " \n\t ", "en", "b"), (None, "no id here", "en", "a"),
+    (4, "the and of some long text " * 20_000, "en", "a"), (5, "same text", "en", None),
+    (5, "same text", "en", None), (6, "same text", "de", "b"), (None, None, None, None),
+    (-9, "🎉 naïve text", None, "c"),
+]
+
+
+@pytest.mark.parametrize("rows", [DOCUMENTS, []])
+def test_pipeline_of_odd_and_empty_tables(spark, rows, tmp_path):
+    """With columns that are named like those which the stages make, and without any label."""
+    folder = str(tmp_path)
+    extra = "key string, `Size` int, n_bytes long, score double, `class` int, part string"
+    docs = spark.createDataFrame(
+        [(*r, "k", 1, 2, 0.5, 3, "p") for r in rows],
+        f"doc_id long, text string, lang string, source string, {extra}",
+    )
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    items = [(1, "the items of no document at all"), (2, None), (3, "")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(
+        f"{folder}/benchmark.parquet"
+    )
+    kept = read(spark, folder, "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stored(stage(spark, kept, folder), name)
+        assert kept.dtypes == docs.dtypes, name
+    found = corpus_pipeline.run(spark, folder).collect()
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(r.doc_id) for r in kept.collect())
+    ids = {r.doc_id for r in found}
+    assert ids <= {r[0] for r in rows} and not {5, 6} <= ids
+    assert bool(found) == bool(rows)

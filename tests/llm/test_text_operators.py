@@ -278,6 +278,26 @@ def test_secrets_against_plain_patterns(spark, sf_dir, table):
         assert KEY not in secret_scan.masked(texts[1], spans[1])
 
 
+def test_secrets_of_odd_rows(spark, empty):
+    """Null, empty, very long and repeated texts, a null id, an empty table, and extra columns whose
+    names are those of the result."""
+    scan = functools.partial(
+        secret_scan.scan, vocabulary=public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        pattern=public_tokenizers.PATTERN,
+    )
+    long = "clean words " * 200_000 + "password=abcdefghijkl " + "f" * 300_000
+    texts = [None, "", "password=abcdefghijkl", "password=abcdefghijkl", long, " \n"]
+    rows = [(None if i == 5 else i // 2 * 2, t, "x", "y", 1, None) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, spans string, `KEY` string, n_hex int, base_sha256 string"
+    docs = spark.createDataFrame(rows, schema)
+    got = scan(docs).collect()
+    base = lambda t: ",".join(base_list(t or ""))
+    want = [(r[0], base(r[1]), hashlib.sha256(base(r[1]).encode()).hexdigest()) for r in rows]
+    assert sorted(((r.key, r.spans, r.base_sha256) for r in got), key=str) == sorted(want, key=str)
+    assert sorted(r.n_hex for r in got) == [0, 0, 0, 0, 0, 1]
+    assert scan(empty).collect() == [] and scan(empty).columns == scan(docs).columns
+
+
 LETTERS = string.ascii_letters
 ALPHABETS = {
     "letters": LETTERS, "capitals": string.ascii_uppercase, "small": string.ascii_lowercase,
