@@ -26,8 +26,3 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
-
-
-def renamed(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the named columns, under the names given: renamed(df, key="doc_id")."""
-    return df.select(*[df[source].alias(name) for name, source in columns.items()])
