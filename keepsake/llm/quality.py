@@ -3,10 +3,10 @@
 A text is the mean of learned vectors, one for each of its words, for each run of 2 to 4 characters
 within a word and its borders, and for each word that repeats the one before; hashing decides which
 vector, repeats share one. A softmax layer on the mean
-gives the class. Vectors and layer are fitted together by stochastic gradient descent in numpy, on
-the driver, over a bounded sample of labelled rows. As the layer is linear, a fitted model scores
-with one number per bucket, so scoring is a lookup for every character, in Arrow batches, and
-needs no shuffle.
+gives the class. Vectors and layer are fitted together by stochastic gradient descent in numpy, in
+one task, over a bounded sample of labelled rows; the driver gets the fitted model alone. As the
+layer is linear, a fitted model scores with one number per bucket, so scoring is a lookup for every
+character, in Arrow batches, and needs no shuffle.
 """
 
 from __future__ import annotations
@@ -167,13 +167,13 @@ def train(
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS))
     layer, bias = np.zeros((2, DIMENSIONS)), np.zeros(2)
-    weights = [n / n.sum() for _, n, _ in examples]
     step = 0
     while examples and step < steps:
         for i in rng.permutation(len(examples))[: steps - step]:
             now = rate * (1 - step / steps)
             step += 1
-            bucket, share, label = examples[i][0], weights[i], examples[i][2]
+            bucket, n, label = examples[i]
+            share = n / n.sum()
             mean = share @ vectors[bucket]
             logits = layer @ mean + bias
             p = np.exp(logits - logits.max())
@@ -207,6 +207,16 @@ def _count_batches(batches):
         )
 
 
+def _fit_batches(batches):
+    """One row, the model fitted on all rows; they stay packed, and are unpacked step by step."""
+    examples = []
+    for batch in batches:
+        for bucket, n, label in zip(batch["buckets"], batch["counts"], batch["label"]):
+            examples.append((np.frombuffer(bucket, "<u2"), np.frombuffer(n, "<u4"), label))
+    model = fit(examples)
+    yield pd.DataFrame({"odds": [model.odds.tobytes()], "bias": [model.bias]})
+
+
 def held_out(doc_id: Column, of: int = 5, rest: int = 0) -> Column:
     """True for rows set aside: crc32 of the id as text, modulo `of`, is `rest`."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % of == rest
@@ -217,7 +227,8 @@ def fit_sample(
 ) -> SubwordClassifier:
     """Fit on the `rows` labelled rows that come first by a hash of their id.
 
-    Only ids and labels are ordered; the chosen ids, at most `rows`, are broadcast to the texts.
+    Only ids and labels are ordered; the chosen ids, at most `rows`, are broadcast to the texts. The
+    rows' counted features meet in one task, in one order, so a retry fits the same model.
     Rows set aside by `held_out`, without a label or without a document are not used; where an id
     has several labels or texts each pair counts as a row, within the same bound.
     """
@@ -232,13 +243,11 @@ def fit_sample(
     counted = sample.mapInPandas(
         _count_batches, "place long, label int, buckets binary, counts binary"
     )
-    found = counted.orderBy("place", "label", "buckets", "counts").limit(rows).toPandas()
-    return fit(
-        [
-            (np.frombuffer(b, "<u2").astype(np.int64), np.frombuffer(n, "<u4").astype(float), y)
-            for b, n, y in zip(found["buckets"], found["counts"], found["label"])
-        ]
-    )
+    sample = counted.orderBy("place", "label", "buckets", "counts").limit(rows)
+    found = sample.coalesce(1).mapInPandas(_fit_batches, "odds binary, bias double").first()
+    if found is None:  # no partition, no model
+        return fit([])
+    return SubwordClassifier(np.frombuffer(found["odds"], np.float32), found["bias"])
 
 
 def score_column(model: SubwordClassifier, text: Column) -> Column:
