@@ -12,7 +12,6 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 
@@ -34,6 +33,7 @@ from keepsake.operators.features import (
     standardize,
 )
 from keepsake.operators.missing import flags_to_numbers, mean_imputer, zero_filler
+from keepsake.operators.network import BlockNetwork
 from keepsake.operators.split import split
 
 DEFAULT_SEED = 7
@@ -140,15 +140,15 @@ def network(
     features: str = "features",
     seed: int = DEFAULT_SEED,
     **settings,
-) -> MultilayerPerceptronClassifier:
+) -> BlockNetwork:
     """Feed-forward network with the named hidden layers; ``'none'`` has none.
 
     Layer shape and task are the study's; the training is MLlib's: sigmoid hidden units, softmax
     output, L-BFGS over the whole training set. ``settings`` overrides its parameters by name.
     MLlib weighs each block of ``blockSize`` rows alike, a partition's last and shorter one too;
-    ``blockSize=1`` gives the optimum over the rows, at the price of slower passes.
+    ``blockSize=1`` gives the optimum over the rows. `BlockNetwork` makes the passes.
     """
-    return MultilayerPerceptronClassifier(
+    return BlockNetwork(
         labelCol=label,
         featuresCol=features,
         layers=[inputs, *({**NETWORK_HIDDEN, "none": ()}[shape]), classes],
