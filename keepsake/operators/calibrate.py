@@ -36,8 +36,8 @@ def fit_sigmoid(
 
     Targets are (n1 + 1) / (n1 + 2) for positive rows and 1 / (n0 + 2) for negative ones instead of 1
     and 0, so separable margins have a finite optimum. A step is two aggregates: the sums for its
-    direction, and the losses of its halvings, all in one pass. It ends when the direction promises
-    less than `tolerance` a row. Rows with a NULL margin or label, or another label, are an error; so
+    direction, and the losses of its halvings, all in one pass. The last step is the first whose
+    direction promises less than `tolerance` a row. Rows with a NULL margin or label, or another label, are an error; so
     is a table without rows. Equal margins of one class give slope 0 or close to it.
     """
     rows = df.select(
@@ -70,8 +70,6 @@ def fit_sigmoid(
             break
         da, db = -(hbb * ga - hab * gb) / det, -(haa * gb - hab * ga) / det
         promised = -(ga * da + gb * db)
-        if promised <= tolerance * n:
-            break
         sizes = [2.0**-k for k in range(12)]
         tried = points.agg(*[_loss(slope + s * da, offset + s * db) for s in sizes]).first()
         fit = [s for s, loss in zip(sizes, tried) if loss <= now - 1e-4 * s * promised]
@@ -79,6 +77,8 @@ def fit_sigmoid(
             break
         now = tried[sizes.index(fit[0])]
         slope, offset = slope + fit[0] * da, offset + fit[0] * db
+        if promised <= tolerance * n:
+            break
     return slope, offset
 
 
