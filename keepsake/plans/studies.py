@@ -48,7 +48,7 @@ class Study:
 
 @dataclass(frozen=True)
 class Result:
-    """A fitted model, its training and test rows, and the scored test rows."""
+    """A fitted model, its training and test rows, the scored test rows, and the table as read."""
 
     model: PipelineModel
     train: DataFrame
@@ -56,11 +56,13 @@ class Result:
     scored: DataFrame
     label: str
     dropped: tuple[str, ...] = ()  # features without a single value in train
+    table: DataFrame | None = None
 
     def release(self) -> None:
-        """Drop the cached splits once the results are written."""
-        self.train.unpersist()
-        self.test.unpersist()
+        """Drop the cached table and splits once the results are written."""
+        for rows in (self.train, self.test, self.table):
+            if rows is not None:
+                rows.unpersist()
 
     def with_score(self) -> DataFrame:
         return self.scored.withColumn("score", element(F.col("probability"), 1))
@@ -193,6 +195,8 @@ def fit_and_score(
     if fill not in FILLS:
         raise ValueError(f"fill is one of {FILLS}, not {fill!r}")
     divide = split_exact if study.exact else split
+    # The passes of the split, and those that fill train and test, type the cells once.
+    (table,) = keep_in_memory(table)
     train, test = divide(table, key or table.columns, study.share, seed)
     features = cols.names_except(table, study.excluded)
     train, test = keep_in_memory(cols.keep(train, [*features, "label"]), test)
@@ -210,7 +214,7 @@ def fit_and_score(
     )
     rows = with_class_weight(train, train, "label") if study.balanced else train
     model = stages.fit(rows)
-    return Result(model, train, test, model.transform(test), label, tuple(empty))
+    return Result(model, train, test, model.transform(test), label, tuple(empty), table)
 
 
 def renewal_correlations(spark: SparkSession, path: str) -> DataFrame:

@@ -78,6 +78,41 @@ def test_group_means_from_uneven_partitions(spark, chunked):
         assert 1 / (1 + np.exp(a - b)) == pytest.approx(mean, abs=1e-6)
 
 
+def test_the_sigmoid_is_right_to_rounding():
+    """Off the grid, on it, half-way between its points, far out, and for no number."""
+    points = np.arange(-40 * 1024, 40 * 1024 + 1) / 1024
+    x = np.concatenate([np.random.default_rng(1).normal(0, 8, 50_000), points, points + 1 / 2048])
+    x = x[np.abs(x) < 40]
+    odd = np.array([50.0, -50.0, 1e300, -1e300, np.inf, -np.inf, np.nan])
+    z = np.concatenate([x, odd]) * -network._GRID
+    with np.errstate(over="ignore"):
+        network._sigmoid(z, np.empty_like(z), np.empty_like(z), np.empty(z.shape, np.int64))
+        wanted = 1 / (1 + np.exp(-x))
+    assert np.abs(z[: len(x)] / wanted - 1).max() < 1e-15
+    assert z[len(x) : -1] == pytest.approx([1, 0, 1, 0, 1, 0], abs=1e-17) and np.isnan(z[-1])
+
+
+def test_rows_go_through_the_layers_together_in_room_that_is_used_again():
+    """The sums do not depend on the step, nor on what went through the room before."""
+    layers, random = [3, 4, 5, 2], np.random.default_rng(2)
+    weights = random.normal(size=4 * 4 + 5 * 5 + 6 * 2)
+    chunks = []
+    for size, share in ((50, 0.5), (7, 1.0), (50, 0.25)):
+        x, y = random.normal(size=(size, 3)), random.integers(0, 2, size)
+        batch = network._row(x, y, share, 1)
+        chunks.append(tuple(batch.column(i)[0].as_py() for i in range(4)))
+    one, all_rows = (network._summed(iter(chunks), layers, weights, n) for n in (1, 64))
+    parts = sum(network._summed(iter([c]), layers, weights, 8) for c in chunks)
+    assert one == pytest.approx(all_rows, abs=1e-10) and parts == pytest.approx(all_rows, abs=1e-10)
+    for k in range(len(weights)):
+        ends = []
+        for sign in (1, -1):
+            near = weights.copy()
+            near[k] += sign * 1e-5
+            ends.append(network._summed(iter(chunks), layers, near, 8)[0])
+        assert (ends[0] - ends[1]) / 2e-5 == pytest.approx(all_rows[k + 1], abs=1e-6)
+
+
 def test_few_rows_are_left_to_mllib(rows, monkeypatch):
     monkeypatch.setattr(network, "_mean_loss", None)
     learner = ln.network("renewal_small", INPUTS, label="label", maxIter=2)

@@ -57,6 +57,30 @@ def test_positive_class_stays_positive_when_it_is_the_larger(spark, churn_lines,
         result.release()
 
 
+@pytest.mark.parametrize("study", ["churn_linear", "churn_forest_exact"])
+def test_a_study_reads_each_row_once(spark, study):
+    """Typing text cells costs more than any other pass over the table."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def typed(cell):
+        read.add(1)
+        return float(cell)
+
+    rows = spark.range(0, 300, 1, 3).select(
+        typed(F.concat(F.col("id") % 50, F.lit(".5"))).alias("x"),
+        F.randn(3).alias("y"), (F.col("id") % 2).cast("double").alias("label"),
+    )
+    result = studies.fit_and_score(studies.STUDIES[study], rows)
+    assert result.train.count() + result.test.count() == 300
+    assert result.metrics().count() > 0
+    assert read.value == 300
+    kept = (result.table, result.train, result.test)
+    assert all(t.storageLevel.useMemory for t in kept)
+    result.release()
+    assert not any(t.storageLevel.useMemory for t in kept)
+
+
 def test_means_and_scales_come_from_training_rows(spark, renewal_csv):
     result = studies.run_study(spark, "renewal_network_small", renewal_csv)
     imputer, _, scaler = result.model.stages[:3]
