@@ -30,8 +30,8 @@ FEW_ROWS = 20_000
 
 # Rows of a chunk, at least: one chunk is one matrix product per layer.
 _CHUNK = 1024
-# Numbers of a layer's output that stay in a core's cache.
-_NUMBERS = 16_384
+# Numbers of a layer's output in one step. Fewer stay in a nearer cache, but numpy's calls then cost more.
+_NUMBERS = 51_200
 # Rows of a cached partition, about and at most; so many partitions' sums go to the driver directly.
 _PART, _DIRECT = 500_000, 64
 

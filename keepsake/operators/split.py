@@ -34,15 +34,25 @@ def held_out(key: Sequence[str], share: float, seed: int = DEFAULT_SEED) -> Colu
 
 
 def split(
-    df: DataFrame, key: Sequence[str], share: float, seed: int = DEFAULT_SEED
+    df: DataFrame,
+    key: Sequence[str],
+    share: float,
+    seed: int = DEFAULT_SEED,
+    hashed: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(train, test)`` with about ``share`` of the rows in test."""
+    """``(train, test)`` with about ``share`` of the rows in test. ``hashed`` as in `split_exact`."""
     test = held_out(key, share, seed)
-    return df.where(~test), df.where(test)
+    if hashed:
+        test = column(hashed) < F.lit(share_bound(share))
+    return _without(df.where(~test), hashed), _without(df.where(test), hashed)
 
 
 def split_exact(
-    df: DataFrame, key: Sequence[str], share: float = SHARE_QUARTER, seed: int = DEFAULT_SEED
+    df: DataFrame,
+    key: Sequence[str],
+    share: float = SHARE_QUARTER,
+    seed: int = DEFAULT_SEED,
+    hashed: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(train, test)`` with exactly ``ceil(rows * share)`` rows in test: those with the smallest
     key hashes.
@@ -52,8 +62,23 @@ def split_exact(
     comparison per row. Where several rows share that last key, they are told apart by a hash of
     the whole row, vectors as their elements. Only the copies of one row, equal in every column, can
     end up on both sides: as many of them as the size asks for.
+
+    ``hashed`` names a column that holds ``key_hash(key, seed)`` already; it is no part of the row,
+    and of neither result. In a persisted table it spares each pass, and each reading of either part,
+    the making of the hashes, which costs more than all the rest.
     """
-    first = key_hash(key, seed)
+    first = column(hashed) if hashed else key_hash(key, seed)
+    train, test = _divided(df, first, share, [f for f in df.schema if f.name != hashed])
+    return _without(train, hashed), _without(test, hashed)
+
+
+def _without(df: DataFrame, hashed: str | None) -> DataFrame:
+    return df.drop(column(hashed)) if hashed else df
+
+
+def _divided(
+    df: DataFrame, first: Column, share: float, fields: Sequence[StructField]
+) -> tuple[DataFrame, DataFrame]:
     hashes = df.select(first.alias("hash"))
     rows, last, missing = _smallest(hashes, lambda n: math.ceil(n * share))
     if rows == 0 or last is None:
@@ -61,7 +86,7 @@ def split_exact(
     if missing == 0:
         test = first <= F.lit(last)
         return df.where(~test), df.where(test)
-    second = F.md5(F.to_json(F.struct(*[_hashable(f) for f in df.schema])))
+    second = F.md5(F.to_json(F.struct(*[_hashable(f) for f in fields])))
     at_last = first == F.lit(last)
     _, last_row, copies = _smallest(df.where(at_last).select(second.alias("hash")),
                                     lambda _: missing)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from keepsake import constants as C
+from keepsake.functions.keys import key_hash
 from keepsake.functions.labels import equals_label
 from keepsake.functions.scores import element
 from keepsake.operators import columns as cols
@@ -48,7 +50,8 @@ class Study:
 
 @dataclass(frozen=True)
 class Result:
-    """A fitted model, its training and test rows, the scored test rows, and the table as read."""
+    """A fitted model, its training and test rows, the scored test rows, and the table as read, with
+    the hashes of its keys."""
 
     model: PipelineModel
     train: DataFrame
@@ -59,16 +62,23 @@ class Result:
     table: DataFrame | None = None
 
     def release(self) -> None:
-        """Drop the cached table and splits once the results are written."""
-        for rows in (self.train, self.test, self.table):
+        """Drop the cached table, splits and scores once the results are written."""
+        for rows in (self.train, self.test, self.table, self.__dict__.get("marks")):
             if rows is not None:
                 rows.unpersist()
 
+    @cached_property
+    def marks(self) -> DataFrame:
+        """Label, prediction and score of the test rows, which the metrics read several times: kept
+        in memory, so that the model scores a row once."""
+        chosen = [self.label, "prediction", "score"]
+        return keep_in_memory(cols.keep(self.with_score(), chosen))[0]
+
     def with_score(self) -> DataFrame:
         return self.scored.withColumn("score", element(F.col("probability"), 1))
 
     def metrics(self, metrics: Sequence[str] = ev.METRICS) -> DataFrame:
-        return ev.evaluate(self.with_score(), metrics, self.label)
+        return ev.evaluate(self.marks, metrics, self.label)
 
     def missing(self) -> DataFrame:
         """``(column, n_rows, n_missing)`` of the features: the cells that were filled."""
@@ -76,7 +86,7 @@ class Result:
         return null_audit(cols.keep(self.train, features).unionAll(cols.keep(self.test, features)))
 
     def report(self) -> DataFrame:
-        return ev.classification_report(self.scored, self.label)
+        return ev.classification_report(self.marks, self.label)
 
     def listing(self, key: Sequence[str]) -> DataFrame:
         return ev.listing(self.scored, key, self.label, probability="probability")
@@ -195,10 +205,11 @@ def fit_and_score(
     if fill not in FILLS:
         raise ValueError(f"fill is one of {FILLS}, not {fill!r}")
     divide = split_exact if study.exact else split
-    # The passes of the split, and those that fill train and test, type the cells once.
-    (table,) = keep_in_memory(table)
-    train, test = divide(table, key or table.columns, study.share, seed)
     features = cols.names_except(table, study.excluded)
+    # The passes of the split, and those that fill train and test, type and hash the cells once.
+    key, hashed = key or table.columns, _new_name(table, "key_hash")
+    (table,) = keep_in_memory(table.withColumn(hashed, key_hash(key, seed)))
+    train, test = divide(table, key, study.share, seed, hashed)
     train, test = keep_in_memory(cols.keep(train, [*features, "label"]), test)
 
     empty = columns_without_values(train, features) if fill == "mean" else []
@@ -217,6 +228,13 @@ def fit_and_score(
     return Result(model, train, test, model.transform(test), label, tuple(empty), table)
 
 
+def _new_name(table: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in table.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def renewal_correlations(spark: SparkSession, path: str) -> DataFrame:
     """The features that correlate most with the renewal code, before any filling."""
     table = schemas.read_renewal_with_header(spark, path, C.RENEWAL_HEADER_CODE)

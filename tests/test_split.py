@@ -103,3 +103,20 @@ def test_exact_split_of_tied_rows_with_vectors(spark):
     assert sorted(values(train) + values(test)) == values(df)
     again = sp.split_exact(df.repartition(2), ["k"], 0.3)
     assert [values(t) for t in again] == [values(train), values(test)]
+
+
+@pytest.mark.parametrize("share", [0.0, 0.2, 0.5, 1.0])
+@pytest.mark.parametrize("divide", [sp.split, sp.split_exact])
+def test_hashes_that_are_there_are_not_made_again(spark, monkeypatch, divide, share):
+    """Equal keys, nulls among them, and equal rows fall as they do without the column."""
+    rows = spark.range(600).select(
+        F.when(F.col("id") % 4 > 0, F.col("id") % 3).alias("key"), (F.col("id") % 5).alias("x")
+    )
+    found = lambda part: sorted(part.collect(), key=str)
+    wanted = [found(part) for part in divide(rows, ["key"], share, 3)]
+    hashed = rows.withColumn("the hash", sp.key_hash(["key"], 3)).persist()
+    monkeypatch.setattr(sp, "key_hash", lambda *_: F.raise_error(F.lit("made again")))
+    parts = divide(hashed, ["key"], share, 3, hashed="the hash")
+    assert [part.columns for part in parts] == [["key", "x"]] * 2
+    assert [found(part) for part in parts] == wanted
+    hashed.unpersist()

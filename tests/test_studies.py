@@ -6,10 +6,12 @@ import sys
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from keepsake import constants as C
 from keepsake.__main__ import main
+from keepsake.operators import evaluate as ev
 from keepsake.operators import split as sp
 from keepsake.plans import derived, studies
 from keepsake.sources import schemas
@@ -81,6 +83,50 @@ def test_a_study_reads_each_row_once(spark, study):
     assert not any(t.storageLevel.useMemory for t in kept)
 
 
+@pytest.mark.parametrize("study", ["churn_linear", "churn_forest"])
+def test_a_study_hashes_a_row_once(spark, monkeypatch, study):
+    """Passes of the split and its parts read the hashes, whatever the table's columns are called."""
+    labels = studies.STUDIES[study].labels or (0.0, 1.0)
+    rows = spark.range(0, 300, 1, 3).select(
+        (F.col("id") % 50).cast("double").alias("Key_Hash"), F.randn(3).alias("_key_hash"),
+        F.when(F.col("id") % 2 == 0, F.lit(labels[0])).otherwise(F.lit(labels[1])).alias("label"),
+    )
+    wanted = studies.fit_and_score(studies.STUDIES[study], rows)
+    held = sorted(wanted.test.collect())
+    wanted.release()
+    monkeypatch.setattr(sp, "key_hash", lambda *_: F.raise_error(F.lit("made again")))
+    result = studies.fit_and_score(studies.STUDIES[study], rows)
+    assert result.train.columns == result.test.columns == rows.columns
+    assert sorted(result.test.collect()) == held and 0 < len(held) < 300
+    assert result.train.count() == 300 - len(held)
+    result.release()
+
+
+def test_metrics_and_report_score_a_row_once(spark):
+    scored = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def model(chance):
+        scored.add(1)
+        return [1 - chance, chance]
+
+    rows = spark.range(0, 200, 1, 3).select(
+        (F.col("id") % 2).cast("double").alias("label"), (F.col("id") % 7 / 7).alias("x")
+    )
+    marked = rows.select(
+        "label", array_to_vector(model("x")).alias("probability"),
+        (F.col("x") > 0.5).cast("double").alias("prediction"),
+    )
+    result = studies.Result(None, rows, rows, marked, "label")
+    assert {r.metric for r in result.metrics().collect()} == set(ev.METRICS)
+    assert result.report().count() == 3
+    assert scored.value == 200
+    kept = result.marks
+    assert kept.storageLevel.useMemory
+    result.release()
+    assert not kept.storageLevel.useMemory
+
+
 def test_means_and_scales_come_from_training_rows(spark, renewal_csv):
     result = studies.run_study(spark, "renewal_network_small", renewal_csv)
     imputer, _, scaler = result.model.stages[:3]
